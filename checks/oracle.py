@@ -287,8 +287,8 @@ ORACLE = {
     "search_link": f"select doc_id as job_id, {link('split_part(text, chr(10), 1)', 'company')} as url from "
                    "(select *, case when lang <> 'fr' then source end as company from documents)",
     "match_label": """with s as (select *, round(o_totalprice / 250000.0, 4) as score from orders)
-      select o_orderkey, case when score <= 1 then round(score * 100, 1)::VARCHAR || '% match'
-        else round(score, 3)::VARCHAR || ' match' end as label,
+      select o_orderkey, case when score <= 1 then round((score * 100)::VARCHAR::DECIMAL(38, 20), 1)::DOUBLE::VARCHAR || '% match'
+        else round(score::VARCHAR::DECIMAL(38, 20), 3)::DOUBLE::VARCHAR || ' match' end as label,
         case when o_orderstatus = 'P' then 'Unclassified' else o_orderstatus end as category,
         replace(replace(replace(lower(o_orderpriority || ' Co., Ltd.'), ' ', '-'), '.', ''), ',', '') as file from s""",
     "judge_parse": "select o_orderkey, case when o_orderpriority = '4-NOT SPECIFIED' then 0 else "

@@ -50,6 +50,22 @@ def sampled_queries(spark, sf) -> DataFrame:
     return picked.select(F.col("doc_id").alias("query_id"), F.col("lang").alias("category"), "text")
 
 
+def stored(spark, sf, name: str, build) -> DataFrame:
+    """A derived table, written once per session and read from storage afterwards."""
+    return spark.read.parquet(_written(spark.sparkContext.applicationId, spark, sf, name, build))
+
+
+@cache
+def _written(app: str, spark: SparkSession, sf: str, name: str, build) -> str:
+    path = scratch_dir(spark, name)
+    readers.write_table(build(spark, sf), path)
+    return path
+
+
+def picked_queries(spark, sf) -> DataFrame:
+    return stored(spark, sf, "queries", sampled_queries)
+
+
 @cache
 def _saved(app: str, spark: SparkSession, sf: str):
     path = scratch_dir(spark, "index")
@@ -335,30 +351,30 @@ def candidates_random(spark, sf):
 
 
 def candidates_half(spark, sf):
-    q = sampled_queries(spark, sf).select("query_id", "category")
+    q = picked_queries(spark, sf).select("query_id", "category")
     return sampling.half_and_half(q, docs(spark, sf), 20)
 
 
 def judge_prompts(spark, sf):
-    rows = judging.candidate_pairs(sampled_queries(spark, sf), docs(spark, sf), 6)
+    rows = judging.candidate_pairs(picked_queries(spark, sf), docs(spark, sf), 6)
     return rows.select("query_id", "doc_id", "prompt")
 
 
 def judgments_graded(spark, sf):
     """A grader column stands in for an outside judge: how many words of the title match."""
-    rows = judging.candidate_pairs(sampled_queries(spark, sf), docs(spark, sf), 6)
+    rows = judging.candidate_pairs(picked_queries(spark, sf), docs(spark, sf), 6)
     same = lambda t, title, d: F.when(F.contains(t, title), F.lit("3")).otherwise(F.lit("n/a"))
     return judging.judge_with(rows, same)
 
 
 def judgments_category(spark, sf):
-    return judging.judge_by_category(sampled_queries(spark, sf), docs(spark, sf), 20,
+    return judging.judge_by_category(picked_queries(spark, sf), docs(spark, sf), 20,
                                      mapping=readers.category_map(spark, MAPPING), pairs=RELATED)
 
 
 def judgments_pooled(spark, sf):
     lex, vec = saved(spark, sf)
-    return judging.judge_pooled(sampled_queries(spark, sf), docs(spark, sf), lex, vec,
+    return judging.judge_pooled(picked_queries(spark, sf), docs(spark, sf), lex, vec,
                                 mapping=readers.category_map(spark, MAPPING))
 
 
@@ -374,13 +390,17 @@ def judgments_roundtrip(spark, sf):
 
 # Evaluation -------------------------------------------------------------------------------------
 
-def _pooled(spark, sf):
+def _unique_pooled(spark, sf):
     return readers.judgments(judgments_pooled(spark, sf))
 
 
+def _pooled(spark, sf):
+    return stored(spark, sf, "pooled", _unique_pooled)
+
+
 def _per_query(spark, sf):
     lex, _ = saved(spark, sf)
-    return metrics.evaluate(_pooled(spark, sf), lambda q: lexical.search(lex, q, 50), sampled_queries(spark, sf))
+    return metrics.evaluate(_pooled(spark, sf), lambda q: lexical.search(lex, q, 50), picked_queries(spark, sf))
 
 
 def eval_per_query(spark, sf):
@@ -401,7 +421,7 @@ def eval_compare(spark, sf):
     lex, vec = saved(spark, sf)
     ways = {name: (lambda q, m=mode: fusion.search(q, lex, vec, 10, m))
             for name, mode in [("bm25f", "bm25f"), ("semantic", "semantic"), ("hybrid", "hybrid")]}
-    out = metrics.compare(_pooled(spark, sf), ways, sampled_queries(spark, sf))
+    out = metrics.compare(_pooled(spark, sf), ways, picked_queries(spark, sf))
     return out.select("metric", *[r6(n) for n in ways])
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from matchlake.functions import fixed
-from matchlake.operators.common import running_count
 
+RANK_BLOCK = 65_536
 Retriever = Callable[[DataFrame], DataFrame]
 
 
@@ -22,6 +22,24 @@ def _at(k: int, value: Column, rank: str = "rank") -> Column:
     return F.sum(F.when(F.col(rank) <= k, value))
 
 
+def _found(seen: DataFrame, keys: list[str], relevant: Column, k_values: tuple[int, ...]) -> DataFrame:
+    """Sums over the judged documents a ranking found. Hits are numbered inside blocks of ranks and
+    the blocks' own counts added afterwards, so one very long ranking spreads over many tasks."""
+    rank, is_hit = F.col("rank"), relevant.cast("int")
+    blocks = seen.withColumn("_block", F.floor(rank / RANK_BLOCK))
+    inside = W.partitionBy(*keys, "_block").orderBy("rank").rowsBetween(W.unboundedPreceding, W.currentRow)
+    blocks = blocks.withColumn("_i", F.sum(is_hit).over(inside))
+    sums = {f"_hits_{k}": F.sum(F.when(relevant & (rank <= k), 1)) for k in k_values}
+    sums |= {f"_dcg_{k}": _at(k, gain(F.col("relevance"), rank)) for k in k_values}
+    per_block = blocks.groupBy(*keys, "_block").agg(
+        *[c.alias(n) for n, c in sums.items()], F.sum(is_hit).alias("_n"),
+        F.sum(F.when(relevant, 1.0 / rank)).alias("_inverse"), F.sum(F.when(relevant, F.col("_i") / rank)).alias("_own"))
+    before = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    per_block = per_block.withColumn("_earlier", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    return per_block.groupBy(*keys).agg(
+        *[F.sum(n).alias(n) for n in sums], F.sum(F.col("_earlier") * F.col("_inverse") + F.col("_own")).alias("_precision"))
+
+
 def per_query(judgments: DataFrame, ranked: DataFrame, known: DataFrame | None = None,
               k_values: tuple[int, ...] = fixed.K_VALUES, threshold: int = fixed.RELEVANCE_THRESHOLD,
               modes: tuple[str, ...] | None = None) -> DataFrame:
@@ -44,13 +62,8 @@ def per_query(judgments: DataFrame, ranked: DataFrame, known: DataFrame | None =
     base = judged.groupBy("query_id").agg(F.count_if(relevant).alias("_n_relevant")).join(ideal, "query_id")
     if modes is not None:
         base = base.withColumn("mode", F.explode(F.array(*[F.lit(m) for m in modes])))
-    seen = ranked.select(*keys, "doc_id", "rank").join(judged, ["query_id", "doc_id"])
-    at_k = seen.groupBy(*keys).agg(*[c for k in k_values for c in (
-        F.count_if(relevant & (F.col("rank") <= k)).alias(f"_hits_{k}"),
-        _at(k, gain(F.col("relevance"), F.col("rank"))).alias(f"_dcg_{k}"))])
-    hits = running_count(seen.filter(relevant).select(*keys, "rank"), keys, F.col("rank"), "hit")
-    precision = hits.groupBy(*keys).agg(F.sum(F.col("hit") / F.col("rank")).alias("_precision"))
-    rows = base.join(at_k, keys, "left").join(precision, keys, "left")
+    found = _found(ranked.select(*keys, "doc_id", "rank").join(judged, ["query_id", "doc_id"]), keys, relevant, k_values)
+    rows = base.join(found, keys, "left")
     zero = F.lit(0.0)
     metrics = []
     for k in k_values:

@@ -61,7 +61,7 @@ def length_stats(df: DataFrame, column: str = "word_count") -> DataFrame:
     the exact median sees one row per distinct length."""
     values = df.filter(F.col(column) > 0).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
     return values.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-                      F.floor(F.percentile("v", 0.5, "n")).cast("bigint").alias("median"),
+                      F.floor(F.percentile("v", F.lit(0.5), F.col("n"))).cast("bigint").alias("median"),
                       F.floor(F.sum(F.col("v") * F.col("n")) / F.sum("n")).cast("bigint").alias("mean"))
 
 

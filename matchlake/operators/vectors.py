@@ -185,8 +185,8 @@ def _grid(queries: DataFrame, vectors: DataFrame, k: int, query_block: int, doc_
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.schema([("query_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64())]).empty_table()
-        best = _Best(left["query_id"].to_numpy(), _matrix(left["embedding"]), k)
-        best.add(right["doc_id"].to_numpy(), _matrix(right["embedding"]))
+        best = _Best(left["query_id"].to_numpy(), _matrix(left["query_vector"]), k)
+        best.add(right["doc_id"].to_numpy(), _matrix(right["doc_vector"]))
         return pa.Table.from_batches([best.table()])
 
     def block(c: str, n: int) -> Column:
@@ -195,10 +195,11 @@ def _grid(queries: DataFrame, vectors: DataFrame, k: int, query_block: int, doc_
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    q = queries.select(block("query_id", n_q).alias("qb"), every(n_d).alias("db"), "query_id", "embedding")
-    d = vectors.select(block("doc_id", n_d).alias("db"), every(n_q).alias("qb"), "doc_id", "embedding")
-    return q.groupBy("qb", "db").cogroup(d.groupBy("qb", "db")).applyInArrow(
-        lambda left, right: cell(left, right), _FOUND)
+    q = queries.select(block("query_id", n_q).alias("qb"), every(n_d).alias("db"), "query_id",
+                       F.col("embedding").alias("query_vector"))
+    d = vectors.select(block("doc_id", n_d).alias("db"), every(n_q).alias("qb"), "doc_id",
+                       F.col("embedding").alias("doc_vector"))
+    return q.groupBy("qb", "db").cogroup(d.groupBy("qb", "db")).applyInArrow(cell, _FOUND)
 
 
 def search_vectors(queries: DataFrame, vectors: DataFrame, k: int = 10, broadcast_values: int = BROADCAST_VALUES,
