@@ -276,7 +276,7 @@ def search_long_queries(spark, sf):
 
 
 def score_pairs(spark, sf):
-    asked = sampling.random_candidates(items(spark, sf).select("query_id"), docs(spark, sf), 20)
+    asked = stored(spark, sf, "asked", candidates_random)
     return lexical.score_pairs(saved(spark, sf)[0], items(spark, sf), asked).select("query_id", "doc_id", r6("score"))
 
 

@@ -61,7 +61,9 @@ def stem(token: Column) -> Column:
 def tokens(c: Column, stemmed: bool = False) -> Column:
     """Lower-case tokens without stopwords and single characters; stems are cut last."""
     found = F.regexp_extract_all(F.lower(text_or_empty(c)), F.lit(fixed.TOKEN_PATTERN), F.lit(0))
-    kept = F.filter(found, lambda t: (F.length(t) > 1) & ~t.isin(*fixed.STOPWORDS))
+    # No token holds an apostrophe, so the words that do are left out of the test.
+    stop = [w for w in fixed.STOPWORDS if "'" not in w]
+    kept = F.filter(found, lambda t: (F.length(t) > 1) & ~t.isin(*stop))
     return F.transform(kept, stem) if stemmed else kept
 
 

@@ -24,6 +24,18 @@ def hint_small(df: DataFrame, proven: bool) -> DataFrame:
     return F.broadcast(df) if proven else df
 
 
+def build_left(df: DataFrame, proven_small: bool) -> DataFrame:
+    """A small left side of a left join: Spark hashes it, per bucket, instead of sorting the large side."""
+    return df.hint("shuffle_hash") if proven_small else df
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """A result that is used more than once, written to the shared scratch folder and read back."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def top_k(scores: DataFrame, k: int, score: str = "score", keys: tuple[str, ...] = ("query_id",),
           tie: str = "doc_id") -> DataFrame:
     """Ranks 1..k per key, best score first. Scores are compared at nine decimals, so the order

@@ -14,6 +14,7 @@ from matchlake.functions import fixed
 from matchlake.functions.labels import judge_prompt
 from matchlake.operators import lexical, vectors as vector_ops
 from matchlake.operators.cleaning import normalise_category
+from matchlake.operators.common import settle
 from matchlake.operators.lexical import LexicalIndex, few_queries, with_meta
 from matchlake.operators.sampling import half_and_half, random_candidates, random_negatives
 from matchlake.operators.vectors import VectorIndex, encode_queries
@@ -66,6 +67,7 @@ def judge_pooled(queries: DataFrame, docs: DataFrame, index: LexicalIndex, vecto
     if vectors is not None:
         asked = encode_queries(queries, vectors.encoder) if query_vectors is None else query_vectors
         pool = pool.union(vector_ops.search_vectors(asked, vectors.vectors, k).select("query_id", "doc_id")).distinct()
+    pool = settle(pool, "pool")
     negatives = random_negatives(queries, docs, pool, n_negatives, seed, few)
     rows = _attach(pool.unionByName(negatives), queries, docs, few)
     grade = F.when(F.col("doc_category") == F.col("mapped"), 3).otherwise(0)

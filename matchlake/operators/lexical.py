@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from matchlake.functions import fixed
 from matchlake.functions.text import resume_snippet, text_or_empty, tokens
-from matchlake.operators.common import BROADCAST_ROWS, hint_small, is_at_most, top_k
+from matchlake.operators.common import BROADCAST_ROWS, build_left, hint_small, is_at_most, top_k
 from matchlake.sources.readers import pick
 
 
@@ -197,27 +197,27 @@ def search(index: LexicalIndex, queries: DataFrame, k: int = 10, max_terms: int
     return top_k(scores, k)
 
 
-def score_pairs(index: LexicalIndex, queries: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Score of given (query_id, doc_id) pairs; a repeated query term counts each time, no hit is 0."""
+def score_pairs(index: LexicalIndex, queries: DataFrame, pairs: DataFrame, few: bool | None = None) -> DataFrame:
+    """Score of given (query_id, doc_id) pairs; a repeated query term counts each time, no hit is 0.
+
+    Pairs fetch their documents' postings bucket by bucket, then meet the query terms. With few
+    pairs (or queries) that side is what gets hashed or broadcast."""
+    few = is_at_most(pairs, BROADCAST_ROWS) if few is None else few
     cut = queries.select("query_id", F.explode_outer(tokens(F.col("text"), index.stemmed)).alias("term"))
     terms = cut.filter("term is not null").groupBy("query_id", "term").agg(F.count("*").alias("times"))
-    weighed = terms.join(term_stats(index), "term").select("query_id", "term", F.col("idf") * F.col("times"))
-    weighed = weighed.toDF("query_id", "term", "weight")
+    weighed = terms.join(term_stats(index), "term").select(
+        "query_id", "term", (F.col("idf") * F.col("times")).alias("weight"))
     asked = pairs.select("query_id", "doc_id").distinct()
-    # Only postings of asked documents meet the query terms.
-    wanted = saturation(index).join(asked.select("doc_id").distinct(), "doc_id", "left_semi")
-    hits = asked.join(weighed, "query_id").join(wanted, ["doc_id", "term"])
-    sums = hits.groupBy("query_id", "doc_id").agg(F.sum(F.col("weight") * F.col("saturation")).alias("score"))
-    return asked.join(sums, ["query_id", "doc_id"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    held = build_left(asked, few).join(saturation(index), "doc_id", "left")
+    hits = held.join(weighed, ["query_id", "term"], "left")
+    added = F.coalesce(F.col("weight") * F.col("saturation"), F.lit(0.0))
+    return hits.groupBy("query_id", "doc_id").agg(F.sum(added).alias("score"))
 
 
 def with_meta(ranked: DataFrame, meta: DataFrame, few: bool = False) -> DataFrame:
-    """Ranked rows with their document's columns. With `few` the ranked ids are within the broadcast
-    bound: they fetch their rows from the wide table, which then is not shuffled."""
-    if few:
-        ids = ranked.select("doc_id").distinct()
-        meta = meta.join(F.broadcast(ids), "doc_id", "left_semi")
-    return ranked.join(meta, "doc_id", "left")
+    """Ranked rows with their document's columns. With `few`, the ranked rows are hashed and the wide
+    table streams past them; stored metadata is bucketed by document and then needs no shuffle."""
+    return build_left(ranked, few).join(meta, "doc_id", "left")
 
 
 def add_documents(index: LexicalIndex, docs: DataFrame, meta: DataFrame | None = None) -> LexicalIndex:

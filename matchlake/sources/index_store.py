@@ -1,8 +1,9 @@
 """Index tables on shared storage.
 
-Postings are bucketed by document and, on request, partitioned by a hash of the term: a search
-reads only the term partitions its queries touch (dynamic partition pruning) and adds scores up
-inside a bucket without a shuffle. A term held by a third of all documents is spread over every bucket.
+Everything a search joins on documents is bucketed by document. Postings are also partitioned, on
+request, by a hash of the term: a search reads only the term partitions its queries touch (dynamic
+partition pruning) and adds scores up inside a bucket without a shuffle. A term held by a third of
+all documents is spread over every bucket.
 """
 
 from __future__ import annotations
@@ -15,9 +16,36 @@ from pyspark.sql import functions as F
 from matchlake.operators.lexical import LexicalIndex, term_counts, term_part, totals
 from matchlake.operators.vectors import VectorIndex
 
+SETTINGS = ("position int, field string, weight double, b double, k1 double, stemmed boolean, "
+            "buckets int, term_parts int, meta string")
+
+
+def _name(path: str) -> str:
+    return "matchlake_" + hashlib.md5(path.encode()).hexdigest()
+
+
+def _columns(df: DataFrame) -> str:
+    return ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
+
+
+def _write_bucketed(df: DataFrame, path: str, buckets: int, sort: str, part: str | None = None) -> DataFrame:
+    df.sparkSession.sql(f"drop table if exists {_name(path)}")
+    writer = df.write.mode("overwrite").format("parquet").option("path", path)
+    writer = writer if part is None else writer.partitionBy(part)
+    writer.bucketBy(buckets, "doc_id").sortBy(sort).saveAsTable(_name(path))
+    return df.sparkSession.table(_name(path))
+
 
-def _table(path: str) -> str:
-    return "matchlake_postings_" + hashlib.md5(path.encode()).hexdigest()[:16]
+def _open_bucketed(spark: SparkSession, path: str, columns: str, buckets: int, sort: str,
+                   part: str | None = None) -> DataFrame:
+    """The table below a path, declared first in a session whose catalog does not know it."""
+    if not spark.catalog.tableExists(_name(path)):
+        by = f"partitioned by ({part})" if part else ""
+        spark.sql(f"create table {_name(path)} ({columns}) using parquet options (path '{path}') {by} "
+                  f"clustered by (doc_id) sorted by ({sort}) into {buckets} buckets")
+        if part:
+            spark.sql(f"alter table {_name(path)} recover partitions")
+    return spark.table(_name(path))
 
 
 def save_lexical(index: LexicalIndex, path: str, buckets: int | None = None, term_parts: int = 0) -> LexicalIndex:
@@ -26,65 +54,51 @@ def save_lexical(index: LexicalIndex, path: str, buckets: int | None = None, ter
 
     At 100 TB build with as many partitions as buckets, so that a bucket of one term partition is a
     few hundred MB (for example 4096 buckets and 32 term partitions)."""
-    spark = index.rows.sparkSession
+    spark, fields = index.rows.sparkSession, list(index.fields)
     buckets = buckets or index.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = index.rows.drop("term_part")
     if index.partitions != buckets:
         rows = rows.repartition(buckets, "doc_id")
     if term_parts:
         rows = rows.withColumn("term_part", term_part(F.col("term"), term_parts))
-    writer = rows.write.mode("overwrite").format("parquet").option("path", f"{path}/postings")
-    if term_parts:
-        writer = writer.partitionBy("term_part")
-    spark.sql(f"drop table if exists {_table(path)}")
-    writer.bucketBy(buckets, "doc_id").sortBy("term").saveAsTable(_table(path))
-    index.meta.write.mode("overwrite").parquet(f"{path}/meta")
-    stored, fields = spark.table(_table(path)), list(index.fields)
+    stored = _write_bucketed(rows, f"{path}/postings", buckets, "term", "term_part" if term_parts else None)
+    _write_bucketed(index.meta.repartition(buckets, "doc_id"), f"{path}/meta", buckets, "doc_id")
     # Bucketed by document: this aggregate needs no shuffle.
     lengths = stored.groupBy("doc_id").agg(*[F.first(f"dl_{f}").alias(f"dl_{f}") for f in fields])
     lengths.write.mode("overwrite").parquet(f"{path}/lengths")
     term_counts(stored).write.mode("overwrite").parquet(f"{path}/term_counts")
     totals(spark.read.parquet(f"{path}/lengths"), fields).write.mode("overwrite").parquet(f"{path}/totals")
-    _settings(index, buckets, term_parts).write.mode("overwrite").json(f"{path}/settings")
-    return open_lexical(spark, path)
-
-
-def _settings(index: LexicalIndex, buckets: int, term_parts: int) -> DataFrame:
-    rows = [(i, f, w, b, index.k1, index.stemmed, buckets, term_parts)
+    conf = [(i, f, w, b, index.k1, index.stemmed, buckets, term_parts, _columns(index.meta))
             for i, (f, (w, b)) in enumerate(index.fields.items())]
-    return index.rows.sparkSession.createDataFrame(rows, SETTINGS).coalesce(1)
-
-
-SETTINGS = ("position int, field string, weight double, b double, k1 double, stemmed boolean, "
-            "buckets int, term_parts int")
+    spark.createDataFrame(conf, SETTINGS).coalesce(1).write.mode("overwrite").json(f"{path}/settings")
+    return open_lexical(spark, path)
 
 
 def open_lexical(spark: SparkSession, path: str) -> LexicalIndex:
-    """Reopens a saved index, also in a session whose catalog does not know it."""
     conf = spark.read.schema(SETTINGS).json(f"{path}/settings").orderBy("position").collect()  # a row per field
-    name, first = _table(path), conf[0]
-    if not spark.catalog.tableExists(name):
-        columns = ", ".join(["doc_id bigint"] + [f"dl_{r.field} int" for r in conf] + ["term string"]
-                            + [f"tf_{r.field} int" for r in conf] + (["term_part int"] if first.term_parts else []))
-        parts = "partitioned by (term_part)" if first.term_parts else ""
-        spark.sql(f"create table {name} ({columns}) using parquet options (path '{path}/postings') {parts} "
-                  f"clustered by (doc_id) sorted by (term) into {first.buckets} buckets")
-        if first.term_parts:
-            spark.sql(f"alter table {name} recover partitions")
+    one = conf[0]
+    columns = ", ".join(["doc_id bigint"] + [f"dl_{r.field} int" for r in conf] + ["term string"]
+                        + [f"tf_{r.field} int" for r in conf] + (["term_part int"] if one.term_parts else []))
+    rows = _open_bucketed(spark, f"{path}/postings", columns, one.buckets, "term",
+                          "term_part" if one.term_parts else None)
+    meta = _open_bucketed(spark, f"{path}/meta", one.meta, one.buckets, "doc_id")
     read = spark.read.parquet
-    return LexicalIndex(spark.table(name), read(f"{path}/lengths"), read(f"{path}/totals"),
-                        read(f"{path}/term_counts"), read(f"{path}/meta"),
-                        {r.field: (r.weight, r.b) for r in conf}, first.k1, first.stemmed, first.term_parts,
-                        first.buckets)
+    return LexicalIndex(rows, read(f"{path}/lengths"), read(f"{path}/totals"), read(f"{path}/term_counts"), meta,
+                        {r.field: (r.weight, r.b) for r in conf}, one.k1, one.stemmed, one.term_parts, one.buckets)
 
 
-def save_vectors(index: VectorIndex, path: str) -> VectorIndex:
+def save_vectors(index: VectorIndex, path: str, buckets: int | None = None) -> VectorIndex:
     """Vectors with the encoder's name in every row (one dictionary entry in Parquet), and their metadata."""
+    spark = index.vectors.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     index.vectors.withColumn("model", F.lit(index.model)).write.mode("overwrite").parquet(f"{path}/vectors")
-    index.meta.write.mode("overwrite").parquet(f"{path}/meta")
-    return open_vectors(index.vectors.sparkSession, path, index.encoder)
+    _write_bucketed(index.meta.repartition(buckets, "doc_id"), f"{path}/meta", buckets, "doc_id")
+    conf = spark.createDataFrame([(buckets, _columns(index.meta))], "buckets int, meta string")
+    conf.coalesce(1).write.mode("overwrite").json(f"{path}/settings")
+    return open_vectors(spark, path, index.encoder)
 
 
 def open_vectors(spark: SparkSession, path: str, encoder=None) -> VectorIndex:
-    stored = spark.read.parquet(f"{path}/vectors")
-    return VectorIndex(stored.select("doc_id", "embedding"), spark.read.parquet(f"{path}/meta"), encoder)
+    conf = spark.read.schema("buckets int, meta string").json(f"{path}/settings").first()
+    meta = _open_bucketed(spark, f"{path}/meta", conf.meta, conf.buckets, "doc_id")
+    return VectorIndex(spark.read.parquet(f"{path}/vectors").select("doc_id", "embedding"), meta, encoder)
