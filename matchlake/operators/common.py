@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 # Up to this many short rows are broadcast; beyond it Spark picks a shuffled join by itself.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_CHARS = 64_000_000
 
 
 def is_at_most(df: DataFrame, n: int) -> bool:

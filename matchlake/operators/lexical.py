@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from matchlake.functions import fixed
 from matchlake.functions.text import resume_snippet, text_or_empty, tokens
-from matchlake.operators.common import BROADCAST_ROWS, build_left, hint_small, is_at_most, top_k
+from matchlake.operators.common import BROADCAST_CHARS, BROADCAST_ROWS, build_left, hint_small, is_at_most, top_k
 from matchlake.sources.readers import pick
 
 
@@ -176,8 +176,12 @@ def _query_terms(index: LexicalIndex, queries: DataFrame, cap: int) -> DataFrame
 
 
 def few_queries(queries: DataFrame, rows_per_query: int) -> bool:
-    """True when `rows_per_query` rows for each query stay within the broadcast bound."""
-    return is_at_most(queries.select("query_id"), BROADCAST_ROWS // rows_per_query)
+    """True when `rows_per_query` rows for each query, and the queries' whole text, stay within the
+    broadcast bounds. Reads no more than one query beyond the bound."""
+    most = BROADCAST_ROWS // rows_per_query
+    size = queries.select(F.length("text").alias("chars")).limit(most + 1).agg(
+        F.count("*").alias("n"), F.coalesce(F.sum("chars"), F.lit(0)).alias("chars")).first()
+    return size["n"] <= most and size["chars"] <= BROADCAST_CHARS
 
 
 def search(index: LexicalIndex, queries: DataFrame, k: int = 10, max_terms: int = fixed.MAX_QUERY_TERMS,
