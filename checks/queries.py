@@ -18,8 +18,14 @@ MAPPING = {"es": "fr"}
 LANGUAGES = {"EN": "English", "DE": "German", "FR": "French"}
 
 
+LONG_TEXTS = {"documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table. Long texts in fewer files than there are cores are spread over the cores first."""
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, LONG_TEXTS[name]) if name in LONG_TEXTS and len(df.inputFiles()) < cores else df
 
 
 def jobs(spark, sf) -> DataFrame:
@@ -67,15 +73,26 @@ def picked_queries(spark, sf) -> DataFrame:
 
 
 @cache
-def _saved(app: str, spark: SparkSession, sf: str):
-    path = scratch_dir(spark, "index")
-    built = index_store.save_lexical(lexical.build_job_index(jobs(spark, sf)), f"{path}/lexical", term_parts=2)
-    return built, index_store.save_vectors(vectors.build_job_vectors(jobs(spark, sf)), f"{path}/vectors")
+def _lexical(app: str, spark: SparkSession, sf: str):
+    return index_store.save_lexical(lexical.build_job_index(jobs(spark, sf)), scratch_dir(spark, "lexical"), term_parts=2)
+
+
+@cache
+def _vectors(app: str, spark: SparkSession, sf: str):
+    return index_store.save_vectors(vectors.build_job_vectors(jobs(spark, sf)), scratch_dir(spark, "vectors"))
+
+
+def saved_lexical(spark, sf) -> lexical.LexicalIndex:
+    """The job index, built and written once per session, then read from storage."""
+    return _lexical(spark.sparkContext.applicationId, spark, sf)
+
+
+def saved_vectors(spark, sf) -> vectors.VectorIndex:
+    return _vectors(spark.sparkContext.applicationId, spark, sf)
 
 
 def saved(spark, sf):
-    """The job indexes, built and written once per session, then read from storage."""
-    return _saved(spark.sparkContext.applicationId, spark, sf)
+    return saved_lexical(spark, sf), saved_vectors(spark, sf)
 
 
 def r6(c: str):
@@ -254,7 +271,7 @@ def _ranked(df):
 
 
 def search_lexical(spark, sf):
-    built, _ = saved(spark, sf)
+    built = saved_lexical(spark, sf)
     found = lexical.search(built, items(spark, sf), 10)
     return lexical.with_meta(found, built.meta, True).select("query_id", "doc_id", "rank", r6("score"), "title",
                                                              "category")
@@ -265,19 +282,19 @@ def search_lexical_fresh(spark, sf):
 
 
 def search_term_cap(spark, sf):
-    return _ranked(lexical.search(saved(spark, sf)[0], items(spark, sf), 10, max_terms=8))
+    return _ranked(lexical.search(saved_lexical(spark, sf), items(spark, sf), 10, max_terms=8))
 
 
 def search_long_queries(spark, sf):
     """Every conversation turn is a query."""
     turns = table(spark, sf, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), "text")
-    return _ranked(lexical.search(saved(spark, sf)[0], turns, 5))
+    return _ranked(lexical.search(saved_lexical(spark, sf), turns, 5))
 
 
 def score_pairs(spark, sf):
     asked = stored(spark, sf, "asked", candidates_random)
-    return lexical.score_pairs(saved(spark, sf)[0], items(spark, sf), asked).select("query_id", "doc_id", r6("score"))
+    return lexical.score_pairs(saved_lexical(spark, sf), items(spark, sf), asked).select("query_id", "doc_id", r6("score"))
 
 
 def search_vectors(spark, sf):
@@ -322,7 +339,7 @@ def match_resumes(spark, sf):
 
 def match_streamed(spark, sf):
     folder = scratch_dir(spark, "stream")
-    lex, _ = saved(spark, sf)
+    lex = saved_lexical(spark, sf)
     arriving = spark.readStream.schema("item_id bigint, text string") \
         .option("pathGlobFilter", "benchmark.parquet").parquet(sf)
     arriving = arriving.select(F.col("item_id").alias("query_id"), "text")
@@ -399,7 +416,7 @@ def _pooled(spark, sf):
 
 
 def _per_query(spark, sf):
-    lex, _ = saved(spark, sf)
+    lex = saved_lexical(spark, sf)
     return metrics.evaluate(_pooled(spark, sf), lambda q: lexical.search(lex, q, 50), picked_queries(spark, sf))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from matchlake.functions import fixed
 from matchlake.functions.bind import let, with_once
 from matchlake.functions.labels import title_category
-from matchlake.functions.text import clean_text, strip_ends, strip_html, word_count
+from matchlake.functions.text import clean_html, clean_text, clean_word_count, strip_ends
 from matchlake.sources.readers import POSTINGS, keep_present
 
 NUMBERS = ["max_salary", "min_salary", "applies", "views"]
@@ -39,8 +39,8 @@ def keep_first(df: DataFrame, content: Column, id_col: str) -> DataFrame:
 def measured_jobs(raw: DataFrame) -> DataFrame:
     """Postings that have a description, with the cleaned text and its word count."""
     df = keep_present(raw, POSTINGS).dropna(subset=["description"])
-    df = with_once(df, "description_clean", clean_text(strip_html(F.col("description"))))
-    return with_once(df, "desc_word_count", word_count(F.col("description_clean")))
+    df = with_once(df, "description_clean", clean_html(F.col("description")))
+    return with_once(df, "desc_word_count", clean_word_count(F.col("description_clean")))
 
 
 def clean_jobs(raw: DataFrame, min_words: int = fixed.MIN_JOB_WORDS) -> DataFrame:
@@ -59,13 +59,13 @@ def resume_text(df: DataFrame) -> Column:
     text = clean_text(F.col("Resume_str"))
     if "Resume_html" not in df.columns:
         return text
-    html = clean_text(strip_html(F.col("Resume_html")))
-    return let(text, lambda t: F.when(word_count(t) < fixed.FALLBACK_WORDS, html).otherwise(t))
+    html = clean_html(F.col("Resume_html"))
+    return let(text, lambda t: F.when(clean_word_count(t) < fixed.FALLBACK_WORDS, html).otherwise(t))
 
 
 def clean_resumes(raw: DataFrame, min_words: int = fixed.MIN_RESUME_WORDS) -> DataFrame:
     df = with_once(raw, "resume_clean", resume_text(raw))
-    df = with_once(df, "resume_word_count", word_count(F.col("resume_clean")))
+    df = with_once(df, "resume_word_count", clean_word_count(F.col("resume_clean")))
     return df.filter(F.col("resume_word_count") >= min_words).withColumn("Category", strip_ends(F.col("Category")))
 
 
@@ -80,8 +80,8 @@ def normalise_category(df: DataFrame, mapping: DataFrame, column: str, out: str)
 def cleaning_funnel(raw: DataFrame, min_words: int = fixed.MIN_JOB_WORDS) -> DataFrame:
     """Rows left after each cleaning step, in one pass over the raw table."""
     seen = raw.select(F.col("description").isNotNull().alias("has"), "description")
-    seen = with_once(seen, "clean", clean_text(strip_html(F.col("description"))))
-    seen = seen.select("has", F.sha2("clean", 256).alias("h"), (word_count(F.col("clean")) >= min_words).alias("long"))
+    seen = with_once(seen, "clean", clean_html(F.col("description")))
+    seen = seen.select("has", F.sha2("clean", 256).alias("h"), (clean_word_count(F.col("clean")) >= min_words).alias("long"))
     # Equal rows merge before the shuffle, so the distinct count needs no second expansion.
     merged = seen.groupBy("has", "h", "long").agg(F.count("*").alias("n"))
     long_enough = F.col("has") & F.col("long")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from matchlake.functions.text import strip_ends, strip_tags, word_count
@@ -43,17 +44,20 @@ def length_histogram(df: DataFrame, bins: int, column: str = "word_count") -> Da
     """(bin, low, high, n) over equal bins from the least to the greatest positive count, the last
     closed. A single value sits in the middle of a range one wide."""
     values = df.filter(F.col(column) > 0).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
-    ends = values.agg(F.min("v").alias("low"), F.max("v").alias("high"))
-    flat = F.col("low") == F.col("high")
-    low = F.when(flat, F.col("low") - 0.5).otherwise(F.col("low").cast("double"))
-    high = F.when(flat, F.col("high") + 0.5).otherwise(F.col("high").cast("double"))
-    lo, hi = ends.select(low).scalar(), ends.select(high).scalar()
-    at = F.least(F.floor((F.col("v") - lo) * bins / (hi - lo)), F.lit(bins - 1)).cast("int")
-    counts = values.groupBy(at.alias("bin")).agg(F.sum("n").alias("n"))
-    frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    width = (hi - lo) / bins
-    return (frame.join(counts, "bin", "left").fillna(0, subset=["n"])
-            .select("bin", (lo + F.col("bin") * width).alias("low"), (lo + (F.col("bin") + 1) * width).alias("high"), "n"))
+    # One row per distinct length from here on, and at most `bins` after the next count.
+    whole = W.partitionBy()
+    ends = values.withColumn("_min", F.min("v").over(whole)).withColumn("_max", F.max("v").over(whole))
+    half = F.when(F.col("_min") == F.col("_max"), 0.5).otherwise(0.0)
+    ends = ends.select("v", "n", (F.col("_min") - half).alias("_lo"), (F.col("_max") + half).alias("_hi"))
+    at = F.least(F.floor((F.col("v") - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo"))), F.lit(bins - 1))
+    filled = ends.groupBy("_lo", "_hi", at.cast("int").alias("bin")).agg(F.sum("n").alias("n"))
+    table = filled.agg(F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"),
+                       F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_n"))
+    rows = table.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    width = (F.col("_hi") - F.col("_lo")) / bins
+    return rows.select("bin", (F.col("_lo") + F.col("bin") * width).alias("low"),
+                       (F.col("_lo") + (F.col("bin") + 1) * width).alias("high"),
+                       F.coalesce(F.try_element_at("_n", F.col("bin")), F.lit(0)).alias("n"))
 
 
 def length_stats(df: DataFrame, column: str = "word_count") -> DataFrame:
