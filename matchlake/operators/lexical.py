@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from matchlake.functions import fixed
 from matchlake.functions.text import resume_snippet, text_or_empty, tokens
-from matchlake.operators.common import BROADCAST_CHARS, BROADCAST_ROWS, build_left, hint_small, is_at_most, top_k
+from matchlake.operators.common import BROADCAST_CHARS, BROADCAST_ROWS, build_left, hint_small, is_at_most, settle, top_k
 from matchlake.sources.readers import pick
 
+SALTS = 16
+
 
 @dataclass(frozen=True)
 class LexicalIndex:
@@ -204,24 +206,40 @@ def search(index: LexicalIndex, queries: DataFrame, k: int = 10, max_terms: int
 def score_pairs(index: LexicalIndex, queries: DataFrame, pairs: DataFrame, few: bool | None = None) -> DataFrame:
     """Score of given (query_id, doc_id) pairs; a repeated query term counts each time, no hit is 0.
 
-    Pairs fetch their documents' postings bucket by bucket, then meet the query terms. With few
-    pairs (or queries) that side is what gets hashed or broadcast."""
+    Few pairs are hashed and fetch their documents' postings bucket by bucket."""
     few = is_at_most(pairs, BROADCAST_ROWS) if few is None else few
     cut = queries.select("query_id", F.explode_outer(tokens(F.col("text"), index.stemmed)).alias("term"))
     terms = cut.filter("term is not null").groupBy("query_id", "term").agg(F.count("*").alias("times"))
     weighed = terms.join(term_stats(index), "term").select(
         "query_id", "term", (F.col("idf") * F.col("times")).alias("weight"))
     asked = pairs.select("query_id", "doc_id").distinct()
-    held = build_left(asked, few).join(saturation(index), "doc_id", "left")
-    hits = held.join(weighed, ["query_id", "term"], "left")
-    added = F.coalesce(F.col("weight") * F.col("saturation"), F.lit(0.0))
-    return hits.groupBy("query_id", "doc_id").agg(F.sum(added).alias("score"))
-
-
-def with_meta(ranked: DataFrame, meta: DataFrame, few: bool = False) -> DataFrame:
-    """Ranked rows with their document's columns. With `few`, the ranked rows are hashed and the wide
-    table streams past them; stored metadata is bucketed by document and then needs no shuffle."""
-    return build_left(ranked, few).join(meta, "doc_id", "left")
+    keys = ["query_id", "doc_id"]
+    if few:
+        held = build_left(asked, few).join(saturation(index), "doc_id", "left")
+        hits = held.join(weighed, ["query_id", "term"], "left")
+        added = F.coalesce(F.col("weight") * F.col("saturation"), F.lit(0.0))
+        return hits.groupBy(*keys).agg(F.sum(added).alias("score"))
+    # Many pairs meet on (document, term), which spreads a document or query most pairs share.
+    asked = settle(asked, "pairs")
+    held = saturation(index).join(asked.select("doc_id").distinct(), "doc_id", "left_semi")
+    hits = asked.join(weighed, "query_id").join(held, ["doc_id", "term"])
+    sums = hits.groupBy(*keys).agg(F.sum(F.col("weight") * F.col("saturation")).alias("score"))
+    return asked.join(sums, keys, "left").fillna(0.0, subset=["score"])
+
+
+def with_meta(ranked: DataFrame, meta: DataFrame, few: bool) -> DataFrame:
+    """Ranked rows with their document's columns.
+
+    `few` says the ranked rows are within the broadcast bound: they are hashed and the wide table
+    streams past them; stored metadata is bucketed by document and then needs no shuffle. Otherwise
+    only ranked documents leave the wide table, and a document found by most queries is salted."""
+    if few:
+        return build_left(ranked, few).join(meta, "doc_id", "left")
+    ranked = settle(ranked, "ranked")
+    held = meta.join(ranked.select("doc_id").distinct(), "doc_id", "left_semi")
+    held = held.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = ranked.withColumn("_salt", F.pmod(F.xxhash64("query_id"), F.lit(SALTS)).cast("int"))
+    return salted.join(held, ["doc_id", "_salt"], "left").drop("_salt")
 
 
 def add_documents(index: LexicalIndex, docs: DataFrame, meta: DataFrame | None = None) -> LexicalIndex:

@@ -20,8 +20,9 @@ PREFIX = 4  # hex digits: at most 65,536 prefixes
 
 
 def places(df: DataFrame, order: Column, id_col: str, keys: tuple[str, ...] = (), first: int | Column | None = None,
-           prefix: int = PREFIX) -> DataFrame:
-    """Adds `place` (0.. per key, by `order`) and `places` (rows of the key).
+           prefix: int = PREFIX, beside: DataFrame | None = None) -> DataFrame:
+    """Adds `place` (0.. per key, by `order`) and `places` (rows of the key), and the columns of
+    `beside`, one row per key, which joins the small table of prefixes rather than the rows.
 
     `first` asks for places below it only: prefixes that start later are dropped before the sort."""
     cut = df.withColumn("_order", order).withColumn("_prefix", F.substring("_order", 1, prefix))
@@ -29,6 +30,8 @@ def places(df: DataFrame, order: Column, id_col: str, keys: tuple[str, ...] = ()
     before = W.partitionBy(*keys).orderBy("_prefix").rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select(*keys, "_prefix", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
                            F.sum("_n").over(W.partitionBy(*keys)).alias("places"))
+    if beside is not None:
+        starts = starts.join(beside, list(keys))
     if first is not None:
         starts = starts.filter(F.col("_start") < first)
     # Without keys the table of starts has at most 16 ** prefix rows.
@@ -117,12 +120,12 @@ def half_and_half(queries: DataFrame, docs: DataFrame, k: int, seed: int = fixed
     other categories are what remains when the query's own stretch is cut out, taken at even steps."""
     order = hash_order(seed, F.col("doc_id"))
     named = docs.select("doc_id", F.coalesce("category", F.lit("")).alias("category"))
-    placed = places(named, order, "doc_id", ("category",))
     sizes = named.groupBy("category").agg(F.count("*").alias("_size"))
     # One row per category: the running sum is over a small aggregate.
     before = W.orderBy("category").rowsBetween(W.unboundedPreceding, -1)
     sizes = sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-    laid = placed.join(sizes, "category").select("doc_id", (F.col("_offset") + F.col("place")).alias("place"))
+    placed = places(named, order, "doc_id", ("category",), beside=sizes)
+    laid = placed.select("doc_id", (F.col("_offset") + F.col("place")).alias("place"))
     total = docs.agg(F.count("*").alias("n")).scalar()
     q = (queries.select("query_id", F.coalesce("category", F.lit("")).alias("category"))
          .join(sizes, "category", "left").fillna(0, subset=["_size", "_offset"]).withColumn("_total", total))

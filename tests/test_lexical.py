@@ -141,3 +141,12 @@ def test_stemming_and_default_builders(spark, five, sample_queries):
     index = lexical.build_resume_index(resumes)
     assert index.meta.columns == ["doc_id", "category", "text"]
     assert top(lexical.search(index, sample_queries, 1), 2)[0][0] == 2
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_metadata_keeps_every_ranked_row(spark, five, few):
+    rows = [(q, 3, 1) for q in range(200)] + [(1, 99, 2)]
+    ranked = spark.createDataFrame(rows, "query_id bigint, doc_id bigint, rank int")
+    got = lexical.with_meta(ranked, five.select("doc_id", "title"), few).collect()
+    assert len(got) == 201
+    assert {(r["doc_id"], r["title"]) for r in got} == {(3, "Machine Learning Engineer"), (99, None)}
