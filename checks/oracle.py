@@ -27,9 +27,9 @@ def strip_ends(c):
 
 
 def unescape(c):
-    for name, char in [("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]:
+    for name, char in [("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">")]:
         c = f"replace({c}, {lit(name)}, {lit(char)})"
-    return c
+    return sub(c, "&amp;?", "&")  # pages also hold the old form without a semicolon
 
 
 def strip_html(c):

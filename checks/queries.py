@@ -74,12 +74,13 @@ def picked_queries(spark, sf) -> DataFrame:
 
 @cache
 def _lexical(app: str, spark: SparkSession, sf: str):
-    return index_store.save_lexical(lexical.build_job_index(jobs(spark, sf)), scratch_dir(spark, "lexical"), term_parts=2)
+    return index_store.save_lexical(index(spark, sf), scratch_dir(spark, "lexical"), term_parts=2)
 
 
 @cache
 def _vectors(app: str, spark: SparkSession, sf: str):
-    return index_store.save_vectors(vectors.build_job_vectors(jobs(spark, sf)), scratch_dir(spark, "vectors"))
+    built = vectors.build_job_vectors(jobs(spark, sf))
+    return index_store.save_vectors(built, scratch_dir(spark, "vectors"), spark.sparkContext.defaultParallelism)
 
 
 def saved_lexical(spark, sf) -> lexical.LexicalIndex:
@@ -211,7 +212,7 @@ def embed_text(spark, sf):
 # Lexical index ----------------------------------------------------------------------------------
 
 def index(spark, sf):
-    return lexical.build_job_index(jobs(spark, sf))
+    return lexical.build_job_index(jobs(spark, sf), partitions=spark.sparkContext.defaultParallelism)
 
 
 def postings(spark, sf):
@@ -245,16 +246,16 @@ def index_jobs(spark, sf):
 
 
 def index_resumes(spark, sf):
-    built = lexical.build_resume_index(resumes(spark, sf))
+    built = lexical.build_resume_index(resumes(spark, sf), partitions=spark.sparkContext.defaultParallelism)
     per_doc = lexical.impacts(built).groupBy("doc_id").agg(F.round(F.sum("impact"), 6).alias("weight"))
     return built.meta.join(per_doc, "doc_id", "left")
 
 
 def index_incremental(spark, sf):
-    """Half the documents first, then all of them: the overlap is replaced, not counted twice."""
-    all_jobs = jobs(spark, sf).select(F.col("job_id").alias("doc_id"), "title", "description")
-    first = all_jobs.filter(F.col("doc_id") % 2 == 0).withColumn("description", F.upper("title"))
-    built = lexical.add_documents(lexical.build_index(first, lexical.fixed.JOB_FIELDS), all_jobs)
+    """An index of English documents with other texts, then all documents: the overlap is replaced."""
+    every = docs(spark, sf)
+    first = every.filter("category = 'en'").withColumn("description", F.concat_ws(" ", "title", "category"))
+    built = lexical.add_documents(lexical.build_index(first, lexical.fixed.JOB_FIELDS), every)
     return lexical.impacts(built).select("term", "doc_id", r6("tf_hat"), r6("impact"))
 
 

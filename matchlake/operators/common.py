@@ -42,7 +42,8 @@ def top_k(scores: DataFrame, k: int, score: str = "score", keys: tuple[str, ...]
     """Ranks 1..k per key, best score first. Scores are compared at nine decimals, so the order
     in which a cluster adds floats cannot swap neighbours; ties go to the lower id.
     Each task cuts to k rows per key before the shuffle."""
-    order = W.partitionBy(*keys).orderBy(F.round(score, 9).desc(), F.col(tie))
+    nanos = F.floor(F.col(score) * 1e9 + 0.5)
+    order = W.partitionBy(*keys).orderBy(nanos.desc(), F.col(tie))
     return scores.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
