@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from matchlake.functions import fixed
 from matchlake.functions.labels import display_score, search_link
-from matchlake.functions.text import text_or_empty
+from matchlake.functions.text import NS, text_or_empty
 from matchlake.operators import lexical
 from matchlake.operators.common import top_k
 from matchlake.operators.lexical import LexicalIndex, few_queries, with_meta
@@ -38,7 +38,7 @@ def fuse(lexical_pool: DataFrame, vector_pool: DataFrame, alpha: float = fixed.A
 
 
 def not_blank(queries: DataFrame) -> DataFrame:
-    return queries.filter(F.trim("text") != "")
+    return queries.filter(F.col("text").rlike(NS))
 
 
 def search(queries: DataFrame, index: LexicalIndex, vectors: VectorIndex | None = None, k: int = 10,

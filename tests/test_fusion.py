@@ -39,6 +39,12 @@ def test_modes(both, sample_queries):
         fusion.search(sample_queries, *both, mode="other")
 
 
+def test_blank_queries_are_dropped(spark):
+    rows = [(1, " \t\u00a0\n"), (2, None), (3, ""), (4, " x ")]
+    kept = fusion.not_blank(spark.createDataFrame(rows, "query_id bigint, text string")).collect()
+    assert [r["query_id"] for r in kept] == [4]
+
+
 def test_without_vectors_only_terms_count(five_index, sample_queries):
     rows = fusion.match_jobs(sample_queries, *[_job_index(five_index)], k=1).orderBy("query_id").collect()
     assert [(r["query_id"], r["doc_id"], r["score"]) for r in rows] == [
