@@ -48,12 +48,18 @@ def top_k(scores: DataFrame, k: int, score: str = "score", keys: tuple[str, ...]
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name under the cluster's shared checkpoint folder (a temporary one in tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_scratch()
+    """A new folder name in the folder that driver and executors share.
+
+    That is `spark.checkpoint.dir`, else the folder given to `setCheckpointDir`. With neither, a session on one
+    machine uses a temporary folder; on a cluster an executor could not read another one's files, so this fails."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = _own_scratch()
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 @cache
 def _own_scratch() -> str:
     return tempfile.mkdtemp(prefix="matchlake-")
-
