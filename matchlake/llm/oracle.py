@@ -9,20 +9,23 @@ WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '" + SPACE + r"'),
 
 
 def _quality() -> str:
-    rules = list(quality.RULES)
-    acc, good = [quality.START[0]] * len(rules), quality.START[1]
-    sums = ", ".join(f"sum(n * CASE v{i} WHEN 1 THEN p WHEN -1 THEN 1 - p ELSE 0 END) / nullif(sum(n * abs(v{i})), 0) AS r{i}"
-                     for i in range(len(rules)))
-    first = ", ".join([f"{good}::DOUBLE AS good"] + [f"{a}::DOUBLE AS a{i}" for i, a in enumerate(acc)])
-    post = "1 / (1 + exp(-(ln(good / (1 - good))" + "".join(f" + v{i} * ln(a{i} / (1 - a{i}))" for i in range(len(rules))) + ")))"
+    rules, (yes, no, good) = range(len(quality.RULES)), quality.START
+    lo, hi = quality.LEAST, quality.MOST
+    sums = ", ".join(f"(sum(CASE v{i} WHEN 1 THEN n * p ELSE 0 END) + 1) / (sum(n * p * abs(v{i})) + 2) AS r{i}, "
+                     f"(sum(CASE v{i} WHEN -1 THEN n * (1 - p) ELSE 0 END) + 1) / (sum(n * (1 - p) * abs(v{i})) + 2) AS s{i}"
+                     for i in rules)
+    first = ", ".join([f"{good}::DOUBLE AS good"] + [f"{yes}::DOUBLE AS a{i}, {no}::DOUBLE AS b{i}" for i in rules])
+    post = "1 / (1 + exp(-(ln(good / (1 - good))" + "".join(
+        f" + CASE v{i} WHEN 1 THEN ln(a{i} / (1 - b{i})) WHEN -1 THEN ln((1 - a{i}) / b{i}) ELSE 0 END" for i in rules) + ")))"
+    clip = lambda x: f"least(greatest({x}, {lo}), {hi})"
+    new = ", ".join(f"{clip(f'r{i}')} AS a{i}, {clip(f's{i}')} AS b{i}" for i in rules)
     steps, last = [f"e0 AS (SELECT {first})"], "e0"
     for k in range(1, quality.ITERATIONS + 1):
-        new = ", ".join(f"coalesce(least(greatest(r{i}, {quality.LEAST}), {quality.MOST}), {acc[i]}) AS a{i}" for i in range(len(rules)))
-        steps.append(f"e{k} AS MATERIALIZED (SELECT least(greatest(g, 0.01), 0.99) AS good, {new} FROM (SELECT sum(n * p) / sum(n) AS g, "
+        steps.append(f"e{k} AS MATERIALIZED (SELECT {clip('g')} AS good, {new} FROM (SELECT sum(n * p) / sum(n) AS g, "
                      f"{sums} FROM (SELECT pat.*, {post} AS p FROM pat, {last})))")
         last = f"e{k}"
-    votes = ", ".join(f"{quality.vote(r)} AS v{i}" for i, r in enumerate(rules))
-    vs = ", ".join(f"v{i}" for i in range(len(rules)))
+    votes = ", ".join(f"{quality.vote(r)} AS v{i}" for i, r in enumerate(quality.RULES))
+    vs = ", ".join(f"v{i}" for i in rules)
     failed = (f"(n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED} * n_words)")
     return f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
 w AS (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS i FROM d),
@@ -35,6 +38,7 @@ c AS MATERIALIZED (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '
  length(regexp_replace(text, '[^0-9]+', '', 'g'))::BIGINT AS n_digits,
  length(regexp_replace(text, '[^A-Z]+', '', 'g'))::BIGINT AS n_capitals,
  length(regexp_replace(text, '[^!|]+', '', 'g'))::BIGINT AS n_marks,
+ length(regexp_replace(text, '{quality.ORDINARY.replace("'", "''")}', '', 'g'))::BIGINT AS n_odd,
  len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
  FROM d JOIN lines USING (r) LEFT JOIN rep USING (r)),
 v AS MATERIALIZED (SELECT *, {votes} FROM c),

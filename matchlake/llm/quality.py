@@ -1,8 +1,8 @@
 """Weak supervision of document quality: rules vote or abstain, expectation-maximisation weighs them.
 
-Each rule looks at a few counts of a whole text and votes good (1), bad (-1) or abstains (0). A rule has one accuracy:
-how often its vote, when it votes, is right. Expectation-maximisation estimates the accuracies and the share of good
-documents without labels, and a document's quality is the posterior probability that it is good. A document passes
+Each rule looks at a few counts of a whole text and votes good (1), bad (-1) or abstains (0). A rule has two accuracies:
+how often its vote is right on good and on bad documents. Expectation-maximisation estimates them and the share of
+good documents without labels, and a document's quality is the posterior probability that it is good. A document passes
 if that is at least the threshold, so one odd count does not reject it, as all-must-pass filters would.
 
 The votes of all documents are counted per vote pattern first. There are at most 3 ** (number of rules) patterns
@@ -22,12 +22,16 @@ from pyspark.sql import functions as F
 from matchlake.llm.shared import words
 from matchlake.operators.common import settle
 
+# Fixed value: characters of plain prose.
+ORDINARY = r"[\p{L}\p{N}\x20\x09-\x0D.,;:'\"()-]+"
 WINDOW = 3
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of the words
 ITERATIONS = 12
-START = (0.8, 0.75)  # accuracy of a rule and share of good documents before the first iteration
-LEAST, MOST = 0.55, 0.99  # an accuracy stays in here: a rule is better than chance and never certain
+# Before the first iteration: how often a vote on a good document says good, a vote on a bad one says bad, and the
+# share of good documents.
+START = (0.95, 0.5, 0.75)
+LEAST, MOST = 0.02, 0.98  # rates stay in here: no rule is ever certain
 THRESHOLD = 0.5
 
 # name: (SQL condition for a good vote, SQL condition for a bad vote); counts are those of `counts`.
@@ -40,6 +44,7 @@ RULES = {
     "capitals": ("100 * n_capitals <= 15 * word_chars", "100 * n_capitals > 40 * word_chars"),
     "marks": ("50 * n_marks <= n_words", "10 * n_marks > n_words"),
     "lines": ("20 * n_dup_lines <= n_lines", "10 * n_dup_lines > 3 * n_lines"),
+    "odd": ("50 * n_odd <= word_chars", "50 * n_odd > 2 * word_chars"),
     "repeats": ("10 * n_repeat_words <= 2 * n_words", "10 * n_repeat_words > 4 * n_words"),
 }
 
@@ -49,10 +54,12 @@ def repeated_words(w: Column, window: int = WINDOW) -> Column:
 
     Windows are compared by a 64-bit hash. Sorting (hash, place) puts equal windows side by side; the places of
     repeated ones, sorted, cover `window` words each, less what the next one covers."""
-    hashes = F.transform(F.sequence(F.lit(0), F.size(w) - window), lambda i: F.struct(
-        F.xxhash64(*[F.get(w, i + j) for j in range(window)]).alias("h"), i.alias("i")))
+    hashes = F.transform(F.sequence(F.lit(0), F.size(w) - window),
+                         lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(window)]))
+    # A one-element array binds a value that is used several times, so that it is computed once.
+    bound = lambda value, f: F.transform(F.array(value), f)[0]
 
-    def neighbour(a: Column) -> Column:
+    def twins(a: Column) -> Column:
         twin = lambda x, j: F.coalesce(F.get(a, j)["h"] == x["h"], F.lit(False))
         return F.filter(a, lambda x, i: twin(x, i - 1) | twin(x, i + 1))
 
@@ -60,10 +67,12 @@ def repeated_words(w: Column, window: int = WINDOW) -> Column:
         return F.aggregate(p, F.struct(F.lit(0).alias("n"), F.lit(-window).alias("last")), lambda s, i: F.struct(
             (s["n"] + F.least(F.lit(window), i - s["last"])).alias("n"), i.alias("last")), lambda s: s["n"])
 
-    # A one-element array binds a value that is used several times, so that it is computed once.
-    bound = lambda value, f: F.transform(F.array(value), f)[0]
-    places = bound(F.array_sort(hashes), lambda a: F.array_sort(F.transform(neighbour(a), lambda x: x["i"])))
-    return F.when(F.size(w) < window + 1, 0).otherwise(bound(places, total)).cast("long")
+    def covered(h: Column) -> Column:
+        placed = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        places = bound(placed, lambda a: F.sort_array(F.transform(twins(a), lambda x: x["i"])))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(total(places))
+
+    return F.when(F.size(w) < window + 1, 0).otherwise(bound(hashes, covered)).cast("long")
 
 
 def counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -80,7 +89,8 @@ def counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     return base.select(
         "doc_id", F.size(w).cast("long").alias("n_words"), size(F.array_join(w, "")).alias("word_chars"),
         kept("[^#*$%&|<>]+").alias("n_symbols"), kept("[^0-9]+").alias("n_digits"), kept("[^A-Z]+").alias("n_capitals"),
-        kept(r"[^!|]+").alias("n_marks"), F.size(l).cast("long").alias("n_lines"),
+        kept(r"[^!|]+").alias("n_marks"),
+        kept(ORDINARY).alias("n_odd"), F.size(l).cast("long").alias("n_lines"),
         (F.size(l) - F.size(F.array_distinct(l))).cast("long").alias("n_dup_lines"),
         repeated_words(w).alias("n_repeat_words"))
 
@@ -90,32 +100,37 @@ def vote(rule: str) -> str:
     return f"CASE WHEN n_words = 0 THEN 0 WHEN {good} THEN 1 WHEN {bad} THEN -1 ELSE 0 END"
 
 
-def _posterior(accuracies: list[float], good: float) -> Column:
+def weights(on_good: float, on_bad: float) -> tuple[float, float]:
+    """What a good and a bad vote of a rule add to the log-odds."""
+    return math.log(on_good / (1 - on_bad)), math.log((1 - on_good) / on_bad)
+
+
+def _posterior(rates: list[tuple[float, float]], good: float) -> Column:
     odds = F.lit(math.log(good / (1 - good)))
-    for i, a in enumerate(accuracies):
-        odds = odds + F.col(f"v{i}") * F.lit(math.log(a / (1 - a)))
+    for i, (yes, no) in enumerate(weights(*r) for r in rates):
+        odds = odds + F.when(F.col(f"v{i}") == 1, yes).when(F.col(f"v{i}") == -1, no).otherwise(0.0)
     return 1 / (1 + F.exp(-odds))
 
 
-def estimate(patterns: DataFrame, iterations: int = ITERATIONS) -> tuple[list[float], float]:
-    """Accuracies of the rules and the share of good documents, from vote patterns v0.. and their number n."""
-    rules, (first, good) = len(RULES), START
-    accuracies = [first] * rules
+def estimate(patterns: DataFrame, iterations: int = ITERATIONS) -> tuple[list[tuple[float, float]], float]:
+    """Per rule the rates of right votes on good and on bad documents, and the share of good documents, from vote
+    patterns v0.. and their number n. Two pseudo-votes keep a rate defined where a rule never votes."""
+    rates, good = [START[:2]] * len(RULES), START[2]
+    inside = lambda x: min(max(x, LEAST), MOST)
     for _ in range(iterations):
-        p = F.col("p")
-        sums = [F.sum(F.col("n") * p), F.sum("n")]
-        for i in range(rules):
+        p, n = F.col("p"), F.col("n")
+        sums = {"total": F.sum(n), "good": F.sum(n * p)}
+        for i in range(len(RULES)):
             v = F.col(f"v{i}")
-            sums += [F.sum(F.col("n") * F.when(v == 1, p).when(v == -1, 1 - p).otherwise(0.0)),
-                     F.sum(F.col("n") * F.abs(v))]
-        row = patterns.withColumn("p", _posterior(accuracies, good)).agg(
-            *[s.alias(f"s{i}") for i, s in enumerate(sums)]).first()
-        if not row[1]:
+            sums |= {f"g{i}": F.sum(n * F.when(v != 0, p).otherwise(0.0)), f"gg{i}": F.sum(n * F.when(v == 1, p).otherwise(0.0)),
+                     f"b{i}": F.sum(n * F.when(v != 0, 1 - p).otherwise(0.0)), f"bb{i}": F.sum(n * F.when(v == -1, 1 - p).otherwise(0.0))}
+        row = patterns.withColumn("p", _posterior(rates, good)).agg(*[s.alias(k) for k, s in sums.items()]).first()
+        if not row["total"]:
             break
-        good = min(max(row[0] / row[1], 0.01), 0.99)
-        accuracies = [min(max(row[2 + 2 * i] / row[3 + 2 * i], LEAST), MOST) if row[3 + 2 * i] else first
-                      for i in range(rules)]
-    return accuracies, good
+        good = inside(row["good"] / row["total"])
+        rates = [(inside((row[f"gg{i}"] + 1) / (row[f"g{i}"] + 2)), inside((row[f"bb{i}"] + 1) / (row[f"b{i}"] + 2)))
+                 for i in range(len(RULES))]
+    return rates, good
 
 
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", iterations: int = ITERATIONS,
