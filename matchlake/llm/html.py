@@ -159,7 +159,8 @@ def vectors(page: list) -> np.ndarray:
         x[k, :PATH_DIMS] = _path_vector(path, _paths)
         words = text.split(" ")
         own = np.bincount([_word_place(w) for w in words], minlength=2 * WORD_DIMS)
-        x[k, PATH_DIMS:PATH_DIMS + WORD_DIMS] = (own[:WORD_DIMS] - own[WORD_DIMS:]) / (1 + len(words) ** 0.5)
+        own = own[:WORD_DIMS] - own[WORD_DIMS:]
+        x[k, PATH_DIMS:PATH_DIMS + WORD_DIMS] = own / (1 + float(own @ own) ** 0.5)
         n = len(text)
         x[k, -COUNTS:] = (np.log1p(n) / 5, linked / n, (text.count(".") + text.count(",")) / len(words),
                           text[-1] in ".!?", k / len(page), 1 / (1 + len(words)))

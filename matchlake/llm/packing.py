@@ -17,6 +17,7 @@ one; a null doc_id is kept; an empty table gives an empty result.
 from __future__ import annotations
 
 import importlib.util
+import itertools
 import os
 import sys
 import zlib
@@ -161,9 +162,10 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer:
     out = [whole.select("*", F.lit(0).alias("round"), F.col("row").alias("share"), F.col("piece").cast("long").alias("bin"),
                         F.lit(0).cast("long").alias("offset"))]
     items = items.filter(F.col("length") < capacity)
-    for k in range(1, sys.maxsize):
+    shares = sys.maxsize
+    for k in itertools.count(1):
         tokens = items.agg(F.sum("length")).first()[0] or 0
-        shares = max(1, tokens // (capacity * share_bins))
+        shares = max(1, min(tokens // (capacity * share_bins), shares // 4))  # fewer each time, so rounds end
         placed = settle(_round(items, shares, capacity, open_bins, shares == 1), f"pack-{k}")
         out.append(placed.filter("closed").drop("closed").withColumn("round", F.lit(k)))
         if shares == 1:
