@@ -63,10 +63,10 @@ class WordIds:
         self.tokenizer, self.ids = Tokenizer.from_file(path), {"": b""}
 
     def add(self, texts: list[list[str]]) -> None:
-        if len(self.ids) > CACHED_WORDS:
-            self.ids = {"": b""}
+        if len(self.ids) > CACHED_WORDS:  # the older half stays: frequent words come early
+            self.ids = dict(itertools.islice(self.ids.items(), CACHED_WORDS // 2))
         new = list(set().union(*texts).difference(self.ids))
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
+        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
             self.ids[w] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:

@@ -13,8 +13,8 @@ a copied passage. The suffixes of these runs are sorted in the bucket of their a
   stored suffix only and branches where they first differ.
 
 Defined cases: a null text is empty; shorter texts keep all; documents with equal ids do not precede each other; a
-null doc_id comes after all ids; an empty table gives an empty result. Removed parts can leave bytes that are no
-UTF-8; `kept` holds the remaining bytes.
+null doc_id comes after all ids; an empty table gives an empty result. The digest is over all remaining bytes; `kept`
+is their text, without characters of which a part was removed.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from matchlake.llm import slices as S
 LENGTH = 50
 ANCHOR = 24
 SHALLOW = 16
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
 
 class Runs:
@@ -247,7 +247,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
             g = gone[a:z]
             rest = s.bytes[a:z][~g].tobytes()
             spans = int(g[:1].sum() + (g[1:] & ~g[:-1]).sum())
-            rows.append((z - a, z - a - len(rest), spans, hashlib.sha256(rest).hexdigest(), rest))
+            rows.append((z - a, z - a - len(rest), spans, hashlib.sha256(rest).hexdigest(), rest.decode(errors="ignore")))
         out = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
         out.insert(0, "doc_id", s.doc_ids())
         return out

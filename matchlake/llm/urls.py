@@ -3,7 +3,7 @@
 URLs that a rule decides are the labelled ones. Trees of depth two are grown on a bounded sample of them: features are
 cut into bins, every level of a tree is one aggregate of gradients per node, feature and bin, and the trees become one
 Column expression that is evaluated inside Spark's generated code. Suffix statistics are the smoothed share of blocked
-URLs per host suffix and per ending of the path, over the same sample.
+URLs per host suffix, ending of the path and first folder, over the same sample.
 
 Defined cases: a URL that is null or has no `://` has an empty host and path, fits no rule and is judged by the trees
 on empty features; a null page_id is kept; repeated rows are judged alike; an empty table gives an empty result; with
@@ -28,7 +28,8 @@ SUFFIXES = 500  # suffixes with statistics of their own, at most; others count a
 ROUNDS, RATE, BINS, SMOOTH = 12, 0.4, 12, 4.0
 LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789-._/%=&?"
 FEATURES = ("url_length", "host_length", "path_length", "depth", "dots", "hyphens", "digit_ratio", "entropy",
-            "n_params", "query_length", "has_fragment", "suffix_rate", "ending_rate")
+            "n_params", "query_length", "has_fragment", "suffix_rate", "ending_rate", "folder_rate")
+STATISTICS = ("suffix", "ending", "folder")  # columns with the share of blocked URLs per value
 
 
 def split_url(url: Column) -> tuple[Column, Column, Column]:
@@ -76,7 +77,8 @@ def parsed(pages: DataFrame, page_id: str, url: str, rules=RULES) -> DataFrame:
         F.round(bits, 6).alias("entropy"), only(F.col("tail"), "[^=]+").alias("n_params"),
         n(F.col("tail")).alias("query_length"), F.col("tail").contains("#").cast("double").alias("has_fragment"),
         F.regexp_extract("host", r"[^.]*$", 0).alias("suffix"),
-        F.regexp_extract(F.col("path"), r"(\.[A-Za-z0-9]+|/)?$", 0).alias("ending"))
+        F.regexp_extract(F.col("path"), r"(\.[A-Za-z0-9]+|/)?$", 0).alias("ending"),
+        F.regexp_extract(F.col("path"), r"^/([^/]*)/", 1).alias("folder"))
 
 
 def _rates(sample: DataFrame, column: str) -> dict[str, float]:
@@ -87,6 +89,11 @@ def _rates(sample: DataFrame, column: str) -> dict[str, float]:
     return {"": share} | {r[0]: (r.y + SMOOTH * share) / (r.n + SMOOTH) for r in rows if r[0]}
 
 
+def with_rates(rows: DataFrame, sample: DataFrame) -> DataFrame:
+    """Rows with the sample's statistics of their values."""
+    return rows.withColumns({f"{c}_rate": _looked_up(c, _rates(sample, c)) for c in STATISTICS})
+
+
 def _looked_up(column: str, rates: dict[str, float]) -> Column:
     table = F.create_map(*[F.lit(x) for kv in sorted(rates.items()) for x in kv])
     return F.coalesce(F.try_element_at(table, F.col(column)), F.lit(rates[""]))
@@ -178,9 +185,7 @@ def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules=RU
     rows = settle(parsed(pages, page_id, url, rules), "url-features")
     labelled = rows.filter(F.col("said").isNotNull()).withColumn("y", (F.col("said") == "block").cast("double"))
     sample = settle(labelled.orderBy(F.xxhash64("host", "path", "page_id")).limit(sample_rows).coalesce(2), "url-labels")
-    suffix, ending = _looked_up("suffix", _rates(sample, "suffix")), _looked_up("ending", _rates(sample, "ending"))
-    full = lambda df: df.withColumns({"suffix_rate": suffix, "ending_rate": ending})
-    p = F.round(1 / (1 + F.exp(-score(*fit(full(sample))))), 6)
-    out = full(rows).withColumn("block_score", p)
+    p = F.round(1 / (1 + F.exp(-score(*fit(with_rates(sample, sample))))), 6)
+    out = with_rates(rows, sample).withColumn("block_score", p)
     verdict = F.coalesce("said", F.when(F.col("block_score") >= 0.5, "block").otherwise("allow"))
     return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "block_score")
