@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchlake.llm.shared import ship
+
 TRAIN_PAGES = 320  # pages that the labeller is fitted on, at most
 TRAIN_CHARS = 60_000  # longer pages are not fitted on; all pages are labelled whole
 HIDDEN, EPOCHS, BATCH, RATE, SEED = 12, 14, 16, 0.02, 5
@@ -356,6 +358,7 @@ def training_pages(pages: DataFrame, html: str, n: int = TRAIN_PAGES) -> list[st
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", model: dict | None = None,
             joint: str = "\n") -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
+    ship(pages.sparkSession)
     model = model or fit(training_pages(pages, html))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchlake.llm.shared import ship
 from matchlake.operators.common import settle
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
@@ -157,6 +158,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer:
          capacity: int = CAPACITY, end_id: int = END_ID, open_bins: int = OPEN_BINS,
          share_bins: int = SHARE_BINS) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    ship(docs.sparkSession)
     items = settle(pieces(docs, doc_id, text, tokenizer or tokenizer_path(), capacity, end_id), "pack-pieces")
     whole = items.filter(F.col("length") == capacity)
     out = [whole.select("*", F.lit(0).alias("round"), F.col("row").alias("share"), F.col("piece").cast("long").alias("bin"),

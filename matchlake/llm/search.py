@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from matchlake.llm.shared import ship
 from matchlake.operators.common import settle
 
 QUERY_BLOCK = 512
@@ -86,6 +87,7 @@ def _blocks(rows: DataFrame, block: int, number: str) -> tuple[DataFrame, int]:
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = SCALE, query_block: int = QUERY_BLOCK,
            doc_block: int = DOC_BLOCK) -> DataFrame:
     """vectors(id, v) and queries(id, v): query_id, rank, vec_id, score."""
+    ship(vectors.sparkSession)
     numbered = lambda df: df.select(F.col("id").cast("long").alias("id"), usable(F.col("v")).alias("v")).filter(
         "id is not null and v is not null").withColumn("row", F.monotonically_increasing_id())
     docs, asked = settle(numbered(vectors), "search-vectors"), settle(numbered(queries), "search-queries")

@@ -1,8 +1,14 @@
-"""Words and null-safe keys that several operators use."""
+"""Words, null-safe keys and the package for executors, which several operators use."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import os
+import tempfile
+import zipfile
+from functools import cache
+from pathlib import Path
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: white space that separates words; a word is a run of other characters.
@@ -26,3 +32,18 @@ def lower_ascii(c: Column) -> Column:
 def keyed(c: Column) -> Column:
     """A string key that is never null: null becomes '', any other value gets a mark in front."""
     return F.coalesce(F.concat(F.lit("="), c), F.lit(""))
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, so that tasks can import it."""
+    _shipped(spark.sparkContext.applicationId, spark)
+
+
+@cache
+def _shipped(app: str, spark: SparkSession) -> None:
+    package = Path(__file__).resolve().parents[1]
+    path = os.path.join(tempfile.mkdtemp(prefix="matchlake-"), f"{package.name}-package.zip")  # Spark sends it from here
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(path)

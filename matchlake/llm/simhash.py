@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchlake.llm.shared import ship
 from matchlake.operators.common import settle
 
 BITS = 64
@@ -220,6 +221,7 @@ def connected(edges: DataFrame, rounds: int = 50) -> DataFrame:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     radius: int = RADIUS, seed: int = SEED, hot: int = HOT) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (its component's least doc_id)."""
+    ship(docs.sparkSession)
     marked = settle(fingerprints(docs, doc_id, text, shingle, seed), "simhash-fingerprints")
     nodes = settle(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
     roots = settle(connected(links(nodes.select("fp"), radius, hot)), "simhash-roots")

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from matchlake.llm import slices as S
-from matchlake.operators.common import settle
+from matchlake.llm.shared import ship
 
 WINDOW = 35
 PERIOD = 21
@@ -92,6 +92,7 @@ def repeated(h: np.ndarray, *rest: np.ndarray) -> np.ndarray:
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, period: int = PERIOD,
           cover=COVER) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 and kept, the kept words joined by a space."""
+    ship(docs.sparkSession)
     cut = S.slices(docs, doc_id, text)
     buckets = S.bucket_total(cut, len(cover) / period / 6)
 

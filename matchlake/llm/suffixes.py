@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from matchlake.llm import slices as S
+from matchlake.llm.shared import ship
 
 LENGTH = 50
 ANCHOR = 24
@@ -191,6 +192,7 @@ def shared_windows(text: np.ndarray, sizes: np.ndarray, doc: np.ndarray, length:
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept."""
+    ship(docs.sparkSession)
     if not max(SHALLOW, length - 63) < anchor <= length:
         raise ValueError("an anchor is longer than the shallow depth and leaves at most 64 windows to a run")
     cut = S.slices(docs, doc_id, text)

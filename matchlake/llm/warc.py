@@ -29,6 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchlake.llm.shared import ship
 from matchlake.operators.common import settle
 
 DATE = "2024-01-01T00:00:00Z"  # fixed value: a run must not depend on the clock
@@ -100,6 +101,7 @@ def revisits(pages: DataFrame, least: int) -> DataFrame:
 def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html",
           least: int = MIN_REVISIT_BYTES) -> DataFrame:
     """Writes the archives and their index below a shared folder and returns the index."""
+    ship(pages.sparkSession)
     given = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"),
                          F.coalesce(F.col(html), F.lit("")).alias("payload"))
     known = settle(revisits(given, least), "warc-revisits")
@@ -147,6 +149,7 @@ def coalesced(offsets: list[int], lengths: list[int], gap: int = GAP, span: int
 
 def read(index: DataFrame, gap: int = GAP, span: int = SPAN) -> DataFrame:
     """The records that the given index rows name."""
+    ship(index.sparkSession)
     # A file is cut into stretches of about a span, so one large archive is read by several tasks.
     placed = index.select("file", "offset", "length", F.floor(F.col("offset") / span).alias("stretch"))
     dealt = placed.repartition("file", "stretch").sortWithinPartitions("file", "offset")
