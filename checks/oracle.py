@@ -82,15 +82,17 @@ ITEMS = "q as (select item_id as query_id, text from benchmark)"
 def lexical(fields=(("title", 3.0, 0.3), ("description", 1.0, 0.75))):
     toks = " union all ".join(
         f"select doc_id, '{f}' as field, unnest({tokens(f)}) as term from jobs" for f, _, _ in fields)
-    lens = ", ".join(f"len({tokens(f)}) as dl_{f}" for f, _, _ in fields)
+    lens = ", ".join(f"coalesce(n_{f}, 0) as dl_{f}" for f, _, _ in fields)
+    dls = ", ".join(f"count(*) filter (field = '{f}') as n_{f}" for f, _, _ in fields)
     means = ", ".join(f"avg(dl_{f}) as avg_{f}" for f, _, _ in fields)
     tfs = ", ".join(f"count(*) filter (field = '{f}') as tf_{f}" for f, _, _ in fields)
     hat = " + ".join(f"{w} * tf_{f} / (1 + {b} * (dl_{f} / avg_{f} - 1))" for f, w, b in fields)
-    return f"""{JOBS}, toks as ({toks}), lens as (select doc_id, {lens} from jobs),
- stats as (select count(*) as n, {means} from lens),
- post as (select term, doc_id, {tfs} from toks group by all),
- terms as (select term, count(*) as df, ln((any_value(n) - count(*) + 0.5) / (count(*) + 0.5) + 1) as idf
-   from post, stats group by term),
+    return f"""{JOBS}, toks as materialized ({toks}), lens as materialized (select doc_id, {lens} from jobs left join
+   (select doc_id, {dls} from toks group by doc_id) using (doc_id)),
+ stats as materialized (select count(*) as n, {means} from lens),
+ post as materialized (select term, doc_id, {tfs} from toks group by all),
+ terms as materialized (select term, count(*) as df,
+   ln(((select n from stats) - count(*) + 0.5) / (count(*) + 0.5) + 1) as idf from post group by term),
  hats as (select term, doc_id, {hat} as tf_hat from post join lens using (doc_id), stats),
  imp as (select term, doc_id, tf_hat, idf, idf * tf_hat / (1.2 + tf_hat) as impact from hats join terms using (term))"""
 
@@ -168,29 +170,37 @@ H = "md5('42:' || doc_id)"
 PICKED = f"""per as (select greatest(2, 50 // count(distinct lang)) as p from documents),
  sq as (select doc_id as query_id, lang as category, text from (select *, row_number() over
    (partition by lang order by {H}, doc_id) as n from documents, per qualify n <= p) order by {H}, doc_id limit 50)"""
-START = "('0x' || substr(md5('42:' || query_id), 1, 8))::BIGINT"
-RING = f"ring as (select doc_id, row_number() over (order by {H}, doc_id) - 1 as place, count(*) over () as n from documents)"
+RING = f"ring as (select doc_id, row_number() over (order by {H}, doc_id) - 1 as place from documents)"
+
+
+def chosen(use, k, n):
+    """k distinct numbers below n for a query: each step draws below a rising bound, or takes the bound itself."""
+    last = f"({n} - {k} + x[1])"
+    drawn = f"(('0x' || substr(md5('42:{use}:' || query_id || ':' || x[1]), 1, 15))::BIGINT % ({last} + 1))"
+    return (f"list_reduce(list_transform(range({k}), lambda i: [i]), lambda s, x: list_append(s, "
+            f"case when list_contains(s, {drawn}) then {last} else {drawn} end), []::BIGINT[])")
 
 
 def drawn(queries, k):
-    return f"""{RING}, dr as (select query_id, doc_id, draw::INTEGER as draw from (select query_id, unnest(range({k}))
-   as draw from {queries}) join ring on place = ({START} + draw) % n where draw < n)"""
+    return f"""{RING}, dq as (select query_id, n, least({k}, n)::BIGINT as k from {queries}, (select count(*) as n from documents)),
+ dp as (select query_id, unnest({chosen('draw', 'k', 'n')}) as place from dq),
+ dr as (select query_id, doc_id, (row_number() over (partition by query_id order by
+   md5('42:order:' || query_id || ':' || place), place) - 1)::INTEGER as draw from dp join ring using (place))"""
 
 
-HALF = """laid as (select doc_id, category, row_number() over (order by category, md5('42:' || doc_id), doc_id) - 1 as place
+HALF = f"""laid as (select doc_id, category, row_number() over (order by category, md5('42:' || doc_id), doc_id) - 1 as place
    from jobs), cats as (select category, count(*) as sz, min(place) as off from laid group by 1),
- hq as (select query_id, coalesce(sz, 0) as sz, coalesce(off, 0) as off, (select count(*) from jobs) as n, {start} as st
-   from {queries} x left join cats using (category)),
- hs as (select *, least({k} // 2, sz) as ns, n - sz as rest, least({k} - least({k} // 2, sz), n - sz) as no from hq),
- ht as (select *, unnest(range({k})) as t from hs),
- hp as (select query_id, true as same, off + (st + t) % greatest(sz, 1) as place from ht where t < ns
-   union all select query_id, false, case when h < off then h else h + sz end from (select *,
-   (st + t * greatest(rest // greatest(no, 1), 1)) % greatest(rest, 1) as h from ht where t < no)),
+ hq as (select query_id, coalesce(sz, 0)::BIGINT as sz, coalesce(off, 0)::BIGINT as off, (select count(*) from jobs) as n
+   from {{queries}} x left join cats using (category)),
+ hs as (select *, least({{k}} // 2, sz)::BIGINT as ns, n - sz as rest, least({{k}} - least({{k}} // 2, sz), n - sz)::BIGINT as no from hq),
+ hp as (select query_id, true as same, off + unnest({chosen('same', 'ns', 'sz')}) as place from hs
+   union all select query_id, false, case when h < off then h else h + sz end from (select query_id, off, sz,
+   unnest({chosen('other', 'no', 'rest')}) as h from hs)),
  hd as (select query_id, doc_id, same from hp join laid using (place))"""
 
 
 def half(queries, k):
-    return HALF.format(queries=queries, k=k, start=START)
+    return HALF.replace('{queries}', queries).replace('{k}', str(k))
 
 
 MAPPED = f"""mq as (select *, case category {' '.join(f"when '{a}' then '{b}'" for a, b in MAPPING.items())}
@@ -203,8 +213,12 @@ JUDGED = f"""{JOBS}, {PICKED}, {MAPPED}, {drawn('sq', 20)},
    join (select doc_id, category, title from jobs) using (doc_id))"""
 POOL = f"""{LEX}, {DOC_VECTORS}, {PICKED}, {MAPPED}, {lex_top('sq', 20, 'lp')}, {vec_top('sq', 20, 'vp')},
  pool as (select query_id, doc_id from lp union select query_id, doc_id from vp), {RING},
- neg as (select query_id, doc_id from (select query_id, doc_id, (place - {START} % n + n) % n as draw from sq, ring)
-   anti join pool using (query_id, doc_id) qualify row_number() over (partition by query_id order by draw) <= 5),
+ nq as (select query_id, n, least(n, 5 + (select count(*) from pool p where p.query_id = sq.query_id))::BIGINT as k
+   from sq, (select count(*) as n from documents)),
+ np as (select query_id, unnest({chosen('draw', 'k', 'n')}) as place from nq),
+ neg as (select query_id, doc_id from (select query_id, doc_id, place from np join ring using (place))
+   anti join pool using (query_id, doc_id) qualify row_number() over (partition by query_id
+   order by md5('42:order:' || query_id || ':' || place), place) <= 5),
  judged as (select query_id, query_category, doc_id, category as doc_category, title as doc_title,
    (case when category = mapped then 3 else 0 end)::INTEGER as relevance
    from (from pool union all from neg) join (select query_id, category as query_category, mapped from mq)
@@ -270,8 +284,9 @@ ORACLE = {
                     "count(distinct description_clean) filter (desc_word_count >= 20) as kept, "
                     "long_enough - kept as removed from w",
     "dedup_documents": "select doc_id, lang from documents qualify row_number() over (partition by text order by doc_id) = 1",
-    "lenient_cast": "select o_orderkey, try_cast(case when o_orderstatus = 'P' then o_orderpriority else "
-                    "o_orderkey::VARCHAR end as DOUBLE) as max_salary from orders",
+    "lenient_cast": "select o_orderkey, try_cast(case when o_orderstatus = 'P' then o_orderpriority "
+                    "when o_orderkey % 7 = 0 then o_orderkey || 'd' when o_orderkey % 7 = 1 then ' 1' || o_orderkey || '.5e1 ' "
+                    "else o_orderkey::VARCHAR end as DOUBLE) as max_salary from orders",
     "level_default": "select o_orderkey, case when o_orderpriority = '4-NOT SPECIFIED' then 'Unknown' else "
                      "o_orderpriority end as experience_level from orders",
     "fallback_text": f"""with c as (select doc_id, upper(lang) as cat, {clean_text('text')} as a,
@@ -296,7 +311,8 @@ ORACLE = {
     "tokens": f"select doc_id, array_to_string({tokens('text')}, ' ') as tokens from documents",
     "tokens_stemmed": f"select doc_id, array_to_string({tokens('text', True)}, ' ') as tokens from documents",
     "delimited_parse": f"""with l as (select ' ' || doc_id || ' :::' || source || '; ;' || lang || ' ; :::' || text as value
-        from documents where lang <> 'es'), p as (select string_split({strip_ends('value')}, ':::') as p from l),
+        from documents union all select doc_id || ':::' || source from documents where lang = 'es'),
+      p as (select p from (select string_split({strip_ends('value')}, ':::') as p from l) where len(p) >= 3),
       t as (select trim(p[1]) as id, {strip_ends('p[2]')} as occupation_str, {strip_tags(strip_ends('p[3]'))} as text,
         list_filter(list_transform(string_split(p[2], ';'), lambda x: trim(x)), lambda x: x <> '') as o from p)
       select id, array_to_string(o, '|') as occupations, occupation_str, text, {words('text')} as word_count,

@@ -18,14 +18,8 @@ MAPPING = {"es": "fr"}
 LANGUAGES = {"EN": "English", "DE": "German", "FR": "French"}
 
 
-LONG_TEXTS = {"documents": "doc_id", "pages": "page_id"}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A given table. Long texts in fewer files than there are cores are spread over the cores first."""
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, LONG_TEXTS[name]) if name in LONG_TEXTS and len(df.inputFiles()) < cores else df
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def jobs(spark, sf) -> DataFrame:
@@ -132,7 +126,9 @@ def dedup_documents(spark, sf):
 
 def lenient_cast(spark, sf):
     raw = table(spark, sf, "orders").select("o_orderkey", F.when(
-        F.col("o_orderstatus") == "P", F.col("o_orderpriority")).otherwise(
+        F.col("o_orderstatus") == "P", F.col("o_orderpriority")).when(
+        F.col("o_orderkey") % 7 == 0, F.concat("o_orderkey", F.lit("d"))).when(
+        F.col("o_orderkey") % 7 == 1, F.concat(F.lit(" 1"), "o_orderkey", F.lit(".5e1 "))).otherwise(
         F.col("o_orderkey").cast("string")).alias("max_salary"))
     return cleaning.lenient_numbers(raw, ["max_salary"])
 
@@ -195,10 +191,12 @@ def tokens_stemmed(spark, sf):
 
 
 def delimited_parse(spark, sf):
-    body = F.when(F.col("lang") != "es", F.col("text"))
-    lines = table(spark, sf, "documents").select(F.concat_ws(
+    given = table(spark, sf, "documents")
+    lines = given.select(F.concat_ws(
         ":::", F.concat(F.lit(" "), F.col("doc_id"), F.lit(" ")),
-        F.concat("source", F.lit("; ;"), "lang", F.lit(" ; ")), body).alias("value"))
+        F.concat("source", F.lit("; ;"), "lang", F.lit(" ; ")), "text").alias("value"))
+    short = given.filter("lang = 'es'").select(F.concat_ws(":::", "doc_id", "source").alias("value"))
+    lines = lines.union(short)
     return readers.parse_delimited(lines).withColumn("occupations", F.concat_ws("|", "occupations"))
 
 
@@ -274,7 +272,8 @@ def _ranked(df):
 def search_lexical(spark, sf):
     built = saved_lexical(spark, sf)
     found = lexical.search(built, items(spark, sf), 10)
-    return lexical.with_meta(found, built.meta, True).select("query_id", "doc_id", "rank", r6("score"), "title",
+    few = lexical.few_queries(items(spark, sf), 10)
+    return lexical.with_meta(found, built.meta, few).select("query_id", "doc_id", "rank", r6("score"), "title",
                                                              "category")
 
 
@@ -319,7 +318,8 @@ def hashed_vectors(spark, sf):
 
 def search_hybrid(spark, sf):
     lex, vec = saved(spark, sf)
-    found = fusion.enrich(fusion.search(items(spark, sf), lex, vec, 10), lex, vec, True)
+    few = lexical.few_queries(items(spark, sf), 10)
+    found = fusion.enrich(fusion.search(items(spark, sf), lex, vec, 10), lex, vec, few)
     return found.select("query_id", "doc_id", "rank", r6("score"), r6("bm25f_score"), r6("semantic_score"),
                         "title", "company", "category")
 

@@ -11,7 +11,7 @@ def session(cpus: str | None = None) -> SparkSession:
     cpus = cpus or os.environ.get("BENCH_CPUS", "8")
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("matchlake")
              .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
-             .config("spark.driver.memory", "16g").config("spark.ui.enabled", "false")
+             .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

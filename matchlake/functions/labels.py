@@ -30,6 +30,11 @@ def hash_number(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
+def wide_number(digest: Column) -> Column:
+    """The first 60 bits of a hex digest as a number."""
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
 def search_link(title: Column, company: Column | None = None) -> Column:
     t = text_or_empty(title)
     words = t if company is None else F.when(text_or_empty(company) != "", F.concat_ws(" ", t, company)).otherwise(t)

@@ -12,6 +12,7 @@ from matchlake.functions.labels import title_category
 from matchlake.functions.text import clean_html, clean_text, clean_word_count, strip_ends
 from matchlake.sources.readers import POSTINGS, keep_present
 
+NUMBER = r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))$"
 NUMBERS = ["max_salary", "min_salary", "applies", "views"]
 
 
@@ -20,8 +21,13 @@ def fill_blank(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def lenient_numbers(df: DataFrame, names: list[str]) -> DataFrame:
-    """Cells that are no number become null instead of failing the job."""
-    return df.withColumns({n: F.col(n).try_cast("double") for n in names if n in df.columns})
+    """Cells that are no number become null instead of failing the job. Spark's cast alone would also take
+    a letter for the type after the digits (`12d`) and hexadecimal floats."""
+    def number(name: str) -> Column:
+        plain = F.trim(F.col(name).cast("string")).rlike(NUMBER)
+        return F.when(plain, F.col(name).try_cast("double"))
+
+    return df.withColumns({n: number(n) for n in names if n in df.columns})
 
 
 def level_or_unknown(c: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -13,7 +13,7 @@ from matchlake.functions.text import strip_ends, strip_tags, word_count
 
 def corpus_sizes(datasets: list[tuple[str, str, DataFrame | None]]) -> DataFrame:
     """Rows per (kind, dataset) with a total per kind and overall; an absent table counts 0."""
-    spark = next(df for _, _, df in datasets if df is not None).sparkSession
+    spark = next((df.sparkSession for _, _, df in datasets if df is not None), None) or SparkSession.active()
     parts = []
     for kind, name, df in datasets:
         n = F.lit(0).cast("bigint") if df is None else F.count("*")

@@ -3,7 +3,8 @@
 Every row gets its place in the order of md5(seed:id) from two small steps: a count per hash
 prefix, then a row number inside the prefix. Both spread evenly whatever the data, so taking n rows,
 n per category, or a run of places per query is a filter or an equi-join on the place; no task sorts
-the table and no query meets every row.
+the table and no query meets every row. The places of a query are its own: k distinct numbers below the
+number of rows, every set of k equally likely.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from matchlake.functions import fixed
-from matchlake.functions.labels import hash_number, hash_order
+from matchlake.functions.labels import hash_order, wide_number
 from matchlake.operators.common import BROADCAST_ROWS, hint_small
 
 PREFIX = 4  # hex digits: at most 65,536 prefixes
@@ -57,8 +58,10 @@ def _fetch(df: DataFrame, ids: DataFrame, id_col: str, at_most: int) -> DataFram
 
 
 def stratified_queries(df: DataFrame, id_col: str, category: str, n: int, seed: int = fixed.SEED) -> DataFrame:
-    """max(2, n div categories) random rows of each category, shuffled and cut to n."""
-    per = F.greatest(F.lit(2), F.floor(F.lit(n) / F.greatest(_n_categories(df, category), F.lit(1))))
+    """max(2, n div categories) random rows of each category, shuffled and cut to n. Rows without a category are not
+    drawn, but count as one category in the share."""
+    unnamed = df.agg(F.coalesce(F.max(F.col(category).isNull().cast("int")), F.lit(0)).alias("n")).scalar()
+    per = F.greatest(F.lit(2), F.floor(F.lit(n) / F.greatest(_n_categories(df, category) + unnamed, F.lit(1))))
     named = df.select(id_col, category).filter(F.col(category).isNotNull())
     picked = places(named, hash_order(seed, F.col(id_col)), id_col, (category,), first=per)
     return _fetch(df, simple_sample(picked.select(id_col), id_col, n, seed), id_col, n)
@@ -78,14 +81,21 @@ def stratified_sample(df: DataFrame, id_col: str, category: str | None, n: int,
     return _fetch(df, places(tiered, F.concat("_tier", order), id_col, first=n, prefix=PREFIX + 1), id_col, n)
 
 
-def _start(seed: int, query_id: Column, size: Column) -> Column:
-    return F.pmod(hash_number(hash_order(seed, query_id)), size)
+def chosen(seed: int, use: str, query_id: Column, k: Column, n: Column) -> Column:
+    """k distinct numbers of 0..n-1 for a query, by Floyd's method: step i draws one of the first n - k + i + 1
+    numbers, and takes the last of these if the drawn one is there already."""
+    def step(taken: Column, i: Column) -> Column:
+        last = n - k + i
+        drawn = F.pmod(wide_number(hash_order(seed, F.lit(use), query_id, i)), last + 1)
+        return F.array_append(taken, F.when(F.array_contains(taken, drawn), last).otherwise(drawn))
+
+    none = F.array().cast("array<bigint>")
+    return F.when(k > 0, F.aggregate(F.sequence(F.lit(0), k.cast("int") - 1), none, step)).otherwise(none)
 
 
 def random_candidates(queries: DataFrame, docs: DataFrame, k: int, seed: int = fixed.SEED,
                       few: bool = False) -> DataFrame:
-    """(query_id, doc_id, draw): k random documents per query. A query starts at its own place in
-    the random order and takes the next k, which is a uniform sample of the documents."""
+    """(query_id, doc_id, draw): k random documents per query, drawn for each query on its own."""
     return draw(queries.withColumn("_k", F.lit(k)), docs, seed, few).select("query_id", "doc_id", "draw")
 
 
@@ -94,10 +104,13 @@ def draw(queries: DataFrame, docs: DataFrame, seed: int, few: bool = False) -> D
     placed = places(docs.select("doc_id"), hash_order(seed, F.col("doc_id")), "doc_id")
     total = docs.agg(F.count("*").alias("n")).scalar()
     wanted = queries.withColumn("_n", total).filter("_n > 0 and _k > 0")
-    start = _start(seed, F.col("query_id"), F.col("_n"))
-    turns = F.sequence(F.lit(0), F.least(F.col("_k"), F.col("_n")).cast("int") - 1)
-    wanted = wanted.withColumn("_from", start).withColumn("draw", F.explode(turns))
-    wanted = wanted.withColumn("place", F.pmod(F.col("_from") + F.col("draw"), F.col("_n"))).drop("_from", "_n", "_k")
+    q = F.col("query_id")
+    picked = chosen(seed, "draw", q, F.least(F.col("_k").cast("long"), F.col("_n")), F.col("_n"))
+    ordered = F.sort_array(F.transform(picked, lambda p: F.struct(
+        hash_order(seed, F.lit("order"), q, p).alias("order"), p.alias("place"))))
+    wanted = wanted.withColumn("_all", ordered).select(
+        *[c for c in queries.columns if c != "_k"], F.posexplode("_all").alias("draw", "_p"))
+    wanted = wanted.withColumn("place", F.col("_p.place")).drop("_p")
     return placed.drop("places").join(hint_small(wanted, few), "place").drop("place")
 
 
@@ -117,7 +130,7 @@ def half_and_half(queries: DataFrame, docs: DataFrame, k: int, seed: int = fixed
                   few: bool = False) -> DataFrame:
     """(query_id, doc_id, same): up to k div 2 random documents of the query's `category`, the rest of
     the k from other categories. Documents are laid out category by category in random order; the
-    other categories are what remains when the query's own stretch is cut out, taken at even steps."""
+    other categories are what remains when the query's own stretch is cut out."""
     order = hash_order(seed, F.col("doc_id"))
     named = docs.select("doc_id", F.coalesce("category", F.lit("")).alias("category"))
     sizes = named.groupBy("category").agg(F.count("*").alias("_size"))
@@ -133,17 +146,10 @@ def half_and_half(queries: DataFrame, docs: DataFrame, k: int, seed: int = fixed
     rest = F.col("_total") - F.col("_size")
     n_other = F.least(F.lit(k) - n_same, rest)
     q = q.select("query_id", "_size", "_offset", n_same.alias("_same"), rest.alias("_rest"), n_other.alias("_other"))
-    step = F.greatest(F.floor(F.col("_rest") / F.greatest("_other", F.lit(1))), F.lit(1))
-    turns = F.sequence(F.lit(0), F.greatest("_same", "_other", F.lit(1)).cast("int") - 1)
-    q = q.withColumn("_step", step).withColumn("_turn", F.explode(turns))
-    near = F.when(F.col("_turn") < F.col("_same"), F.col("_offset") + F.pmod(
-        _start(seed, F.col("query_id"), F.greatest("_size", F.lit(1))) + F.col("_turn"),
-        F.greatest("_size", F.lit(1))))
-    hop = F.pmod(_start(seed, F.col("query_id"), F.greatest("_rest", F.lit(1))) + F.col("_turn") * F.col("_step"),
-                 F.greatest("_rest", F.lit(1)))
-    far = F.when(F.col("_turn") < F.col("_other"),
-                 F.when(hop < F.col("_offset"), hop).otherwise(hop + F.col("_size")))
-    wanted = q.select("query_id", F.inline(F.array(F.struct(near.alias("place"), F.lit(True).alias("same")),
-                                                   F.struct(far.alias("place"), F.lit(False).alias("same")))))
-    wanted = wanted.filter("place is not null")
+    near = F.transform(chosen(seed, "same", F.col("query_id"), F.col("_same").cast("long"), F.col("_size")),
+                       lambda p: F.struct((F.col("_offset") + p).alias("place"), F.lit(True).alias("same")))
+    far = F.transform(chosen(seed, "other", F.col("query_id"), F.col("_other").cast("long"), F.col("_rest")),
+                      lambda p: F.struct(F.when(p < F.col("_offset"), p).otherwise(p + F.col("_size")).alias("place"),
+                                         F.lit(False).alias("same")))
+    wanted = q.select("query_id", F.inline(F.concat(near, far)))
     return laid.join(hint_small(wanted, few), "place").select("query_id", "doc_id", "same")

@@ -132,33 +132,44 @@ def _matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 class _Best:
-    """The k best documents of each query seen so far, ordered as `top_k` orders them."""
+    """The k best documents of each query seen so far, ordered as `top_k` orders them.
+
+    A query's floor is its k-th best score so far; of a block of scores only those that reach it, or tie with it at
+    nine decimals, are kept, and kept rows are cut to k per query when they have piled up."""
 
     def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
         self.query_ids, self.queries, self.k = query_ids, queries, k
-        self.found: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0))] * len(query_ids)
+        self.floor = np.full(len(query_ids), -np.inf)
+        self.kept = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        self.size = 0
 
     def add(self, doc_ids: np.ndarray, docs: np.ndarray) -> None:
         for start in range(0, len(self.query_ids), 256):
             scores = self.queries[start:start + 256] @ docs.T
-            for row, line in enumerate(scores, start):
-                ids, kept = self.found[row]
-                if len(line) > self.k:
-                    # Everything that ties with the k-th best at nine decimals stays in the race.
-                    line_floor = np.partition(line, -self.k)[-self.k] - 2e-9
-                    near = np.flatnonzero(line >= line_floor)
-                    ids, kept = np.concatenate([ids, doc_ids[near]]), np.concatenate([kept, line[near]])
-                else:
-                    ids, kept = np.concatenate([ids, doc_ids]), np.concatenate([kept, line])
-                order = np.lexsort((ids, -np.round(kept, 9)))[:self.k]
-                self.found[row] = (ids[order], kept[order])
+            floor = self.floor[start:start + 256]
+            if len(doc_ids) > self.k:
+                np.maximum(floor, np.partition(scores, -self.k, axis=1)[:, -self.k], out=floor)
+            row, column = np.nonzero(scores >= floor[:, None] - 2e-9)
+            self.kept.append((row + start, doc_ids[column], scores[row, column]))
+            self.size += len(row)
+        if self.size > 8 * self.k * len(self.query_ids) + 100_000:
+            self.cut()
+
+    def cut(self) -> None:
+        row, ids, scores = (np.concatenate(c) for c in zip(*self.kept))
+        order = np.lexsort((ids, -np.floor(scores * 1e9 + 0.5), row))
+        row, ids, scores = row[order], ids[order], scores[order]
+        first = np.searchsorted(row, np.arange(len(self.query_ids)))
+        place = np.arange(len(row)) - first[row]
+        self.floor[row[place == self.k - 1]] = scores[place == self.k - 1]
+        keep = place < self.k
+        self.kept, self.size = [(row[keep], ids[keep], scores[keep])], int(keep.sum())
 
     def table(self) -> pa.RecordBatch:
-        sizes = [len(ids) for ids, _ in self.found]
-        return pa.RecordBatch.from_arrays([
-            pa.array(np.repeat(self.query_ids, sizes), pa.int64()),
-            pa.array(np.concatenate([ids for ids, _ in self.found]), pa.int64()),
-            pa.array(np.concatenate([s for _, s in self.found]), pa.float64())], names=["query_id", "doc_id", "score"])
+        self.cut()
+        row, ids, scores = self.kept[0]
+        return pa.RecordBatch.from_arrays([pa.array(self.query_ids[row], pa.int64()), pa.array(ids, pa.int64()),
+                                           pa.array(scores, pa.float64())], names=["query_id", "doc_id", "score"])
 
 
 def _scan(queries: pa.Table, vectors: DataFrame, k: int) -> DataFrame:
@@ -206,11 +217,14 @@ def search_vectors(queries: DataFrame, vectors: DataFrame, k: int = 10, broadcas
                    query_block: int = QUERY_BLOCK, doc_block: int = DOC_BLOCK) -> DataFrame:
     """(query_id, doc_id, score, rank): exact top k by dot product of unit vectors.
 
-    Query vectors within `broadcast_values` go to every task; more of them use the block grid."""
-    asked = queries.select("query_id", "embedding")
+    Null vectors, and vectors of another length than the first query's, take no part. Query vectors within
+    `broadcast_values` go to every task; more of them use the block grid."""
+    asked = queries.select("query_id", "embedding").filter("query_id is not null and embedding is not null")
     width = asked.select(F.size("embedding").alias("n")).limit(1).collect()
     if not width:
         return vectors.sparkSession.createDataFrame([], _FOUND + ", rank int")
+    same = F.size("embedding") == width[0]["n"]
+    asked, vectors = asked.filter(same), vectors.filter(same & F.col("doc_id").isNotNull())
     most = broadcast_values // max(1, width[0]["n"])
     head = asked.limit(most + 1).toArrow()
     found = _scan(head, vectors, k) if head.num_rows <= most else _grid(asked, vectors, k, query_block, doc_block)

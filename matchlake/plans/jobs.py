@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from matchlake.operators import lexical, metrics
 from matchlake.operators.cleaning import clean_jobs, clean_resumes
+from matchlake.operators.common import settle
 from matchlake.operators.judging import judge_pooled
 from matchlake.operators.lexical import build_job_index, build_resume_index
 from matchlake.operators.sampling import stratified_queries, stratified_sample
@@ -38,8 +39,8 @@ def clean(jobs: DataFrame | None, resumes: DataFrame | None, out: Layout) -> boo
 
 
 def build_indexes(spark: SparkSession, out: Layout, encoder: Encoder | None = None, n_jobs: int | None = None,
-                  partitions: int | None = None, term_parts: int = 0) -> bool:
-    """Lexical and vector indexes of both tables, of a stratified sample of jobs when `n_jobs` is given."""
+                  partitions: int | None = None, term_parts: int = 0, with_vectors: bool = True) -> bool:
+    """Lexical and, if wanted, vector indexes of both tables, of a stratified sample of jobs when `n_jobs` is given."""
     jobs = readers.read_if_exists(spark.read.parquet, out.jobs)
     resumes = readers.read_if_exists(spark.read.parquet, out.resumes)
     if jobs is None or resumes is None:
@@ -50,8 +51,9 @@ def build_indexes(spark: SparkSession, out: Layout, encoder: Encoder | None = No
     store = index_store
     store.save_lexical(build_job_index(jobs, partitions=partitions), out.jobs_lexical, term_parts=term_parts)
     store.save_lexical(build_resume_index(resumes, partitions=partitions), out.resumes_lexical, term_parts=term_parts)
-    store.save_vectors(build_job_vectors(jobs, encoder), out.jobs_vectors)
-    store.save_vectors(build_resume_vectors(resumes, encoder), out.resumes_vectors)
+    if with_vectors:
+        store.save_vectors(build_job_vectors(jobs, encoder), out.jobs_vectors)
+        store.save_vectors(build_resume_vectors(resumes, encoder), out.resumes_vectors)
     return True
 
 
@@ -65,11 +67,12 @@ def job_docs(jobs: DataFrame) -> DataFrame:
 
 
 def judge(spark: SparkSession, out: Layout, num_queries: int = 50, k: int = 20, encoder: Encoder | None = None) -> None:
-    """Pooled judgments for a stratified sample of profiles."""
+    """Pooled judgments for a stratified sample of profiles; pools are lexical alone where there are no vectors."""
     resumes, jobs = spark.read.parquet(out.resumes), spark.read.parquet(out.jobs)
-    queries = resume_queries(stratified_queries(resumes, "ID", "Category", num_queries))
+    queries = settle(resume_queries(stratified_queries(resumes, "ID", "Category", num_queries)), "queries")
+    vectors = readers.read_if_exists(lambda p: index_store.open_vectors(spark, p, encoder or HashingEncoder()), out.jobs_vectors)
     rows = judge_pooled(queries, job_docs(jobs), index_store.open_lexical(spark, out.jobs_lexical),
-                        index_store.open_vectors(spark, out.jobs_vectors, encoder or HashingEncoder()), k,
+                        vectors, k,
                         mapping=readers.read_category_map(spark, out.category_map))
     readers.write_table(rows, out.judgments)
 
@@ -86,8 +89,8 @@ def evaluate(spark: SparkSession, out: Layout, k: int = 50, encoder: Encoder | N
 
 
 def run_all(spark: SparkSession, jobs: DataFrame | None, resumes: DataFrame | None, out: Layout,
-            encoder: Encoder | None = None) -> DataFrame | None:
-    if not (clean(jobs, resumes, out) and build_indexes(spark, out, encoder)):
+            encoder: Encoder | None = None, with_vectors: bool = True) -> DataFrame | None:
+    if not (clean(jobs, resumes, out) and build_indexes(spark, out, encoder, with_vectors=with_vectors)):
         return None
     judge(spark, out, encoder=encoder)
     return evaluate(spark, out, encoder=encoder)

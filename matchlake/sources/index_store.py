@@ -20,32 +20,41 @@ SETTINGS = ("position int, field string, weight double, b double, k1 double, ste
             "buckets int, term_parts int, meta string")
 
 
-def _name(path: str) -> str:
-    return "matchlake_" + hashlib.md5(path.encode()).hexdigest()
+def _name(path: str, *layout) -> str:
+    """A table's name in the catalog. It holds the layout, so a session that knows an older one does not read a
+    rebuilt folder by it."""
+    return "matchlake_" + hashlib.md5(repr((path, *layout)).encode()).hexdigest()
 
 
 def _columns(df: DataFrame) -> str:
     return ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
 
 
-def _write_bucketed(df: DataFrame, path: str, buckets: int, sort: str, part: str | None = None) -> DataFrame:
-    df.sparkSession.sql(f"drop table if exists {_name(path)}")
+def _write_bucketed(df: DataFrame, path: str, buckets: int, sort: str, part: str | None = None) -> None:
+    name = _name(path, _columns(df), buckets, sort, part)
+    df.sparkSession.sql(f"drop table if exists {name}")
     writer = df.write.mode("overwrite").format("parquet").option("path", path)
     writer = writer if part is None else writer.partitionBy(part)
-    writer.bucketBy(buckets, "doc_id").sortBy(sort).saveAsTable(_name(path))
-    return df.sparkSession.table(_name(path))
+    writer.bucketBy(buckets, "doc_id").sortBy(sort).saveAsTable(name)
+    df.sparkSession.sql(f"drop table {name}")
 
 
 def _open_bucketed(spark: SparkSession, path: str, columns: str, buckets: int, sort: str,
                    part: str | None = None) -> DataFrame:
-    """The table below a path, declared first in a session whose catalog does not know it."""
-    if not spark.catalog.tableExists(_name(path)):
-        by = f"partitioned by ({part})" if part else ""
-        spark.sql(f"create table {_name(path)} ({columns}) using parquet options (path '{path}') {by} "
-                  f"clustered by (doc_id) sorted by ({sort}) into {buckets} buckets")
-        if part:
-            spark.sql(f"alter table {_name(path)} recover partitions")
-    return spark.table(_name(path))
+    """The table below a path, declared anew: another session may have rebuilt it since."""
+    name = _name(path, columns, buckets, sort, part)
+    spark.sql(f"drop table if exists {name}")
+    by = f"partitioned by ({part})" if part else ""
+    spark.sql(f"create table {name} ({columns}) using parquet options (path '{path}') {by} "
+              f"clustered by (doc_id) sorted by ({sort}) into {buckets} buckets")
+    if part:
+        spark.sql(f"alter table {name} recover partitions")
+    return spark.table(name)
+
+
+def _postings(fields: list[str], term_parts: int) -> list[str]:
+    return (["doc_id bigint"] + [f"dl_{f} int" for f in fields] + ["term string"] + [f"tf_{f} int" for f in fields]
+            + (["term_part int"] if term_parts else []))
 
 
 def save_lexical(index: LexicalIndex, path: str, buckets: int | None = None, term_parts: int = 0) -> LexicalIndex:
@@ -61,8 +70,10 @@ def save_lexical(index: LexicalIndex, path: str, buckets: int | None = None, ter
         rows = rows.repartition(buckets, "doc_id")
     if term_parts:
         rows = rows.withColumn("term_part", term_part(F.col("term"), term_parts))
-    stored = _write_bucketed(rows, f"{path}/postings", buckets, "term", "term_part" if term_parts else None)
+    _write_bucketed(rows, f"{path}/postings", buckets, "term", "term_part" if term_parts else None)
     _write_bucketed(index.meta.repartition(buckets, "doc_id"), f"{path}/meta", buckets, "doc_id")
+    stored = _open_bucketed(spark, f"{path}/postings", ", ".join(_postings(fields, term_parts)), buckets, "term",
+                            "term_part" if term_parts else None)
     # Bucketed by document: this aggregate needs no shuffle.
     lengths = stored.groupBy("doc_id").agg(*[F.first(f"dl_{f}").alias(f"dl_{f}") for f in fields])
     lengths.write.mode("overwrite").parquet(f"{path}/lengths")
@@ -77,8 +88,7 @@ def save_lexical(index: LexicalIndex, path: str, buckets: int | None = None, ter
 def open_lexical(spark: SparkSession, path: str) -> LexicalIndex:
     conf = spark.read.schema(SETTINGS).json(f"{path}/settings").orderBy("position").collect()  # a row per field
     one = conf[0]
-    columns = ", ".join(["doc_id bigint"] + [f"dl_{r.field} int" for r in conf] + ["term string"]
-                        + [f"tf_{r.field} int" for r in conf] + (["term_part int"] if one.term_parts else []))
+    columns = ", ".join(_postings([r.field for r in conf], one.term_parts))
     rows = _open_bucketed(spark, f"{path}/postings", columns, one.buckets, "term",
                           "term_part" if one.term_parts else None)
     meta = _open_bucketed(spark, f"{path}/meta", one.meta, one.buckets, "doc_id")

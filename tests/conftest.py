@@ -14,16 +14,16 @@ def spark():
 
 
 POSTINGS = [
-    (0, "Senior Python Developer", "We are looking for an experienced Python developer with expertise in Django, Flask, "
-        "and REST APIs. Machine learning experience is a plus."),
-    (1, "Data Scientist", "Join our analytics team to build machine learning models using Python, TensorFlow, and "
-        "scikit-learn. Strong statistics background required."),
-    (2, "Frontend React Developer", "Build modern web applications with React, TypeScript, and CSS. Experience with "
-        "responsive design and accessibility standards."),
-    (3, "Machine Learning Engineer", "Design and deploy ML pipelines using Python, PyTorch, and cloud services. NLP and "
-        "computer vision experience preferred."),
-    (4, "Project Manager - IT", "Lead cross-functional teams in delivering software projects on time. Agile and Scrum "
-        "certification preferred. Technical background in software development."),
+    (0, "Head Pastry Baker", "Our bakery wants a baker who knows sourdough bread and croissants, orders flour and trains "
+        "apprentices. Early morning shifts."),
+    (1, "Bread Line Supervisor", "Supervise a bread line in a factory: ovens, flour stock, hygiene checks and morning "
+        "shifts for twelve workers."),
+    (2, "Harbour Crane Operator", "Operates cranes at a container harbour, loading ships and checking cables, in shifts "
+        "and any weather."),
+    (3, "Sourdough Baker", "Small shop seeks a sourdough baker. You mix dough, shape loaves, fire the ovens and sell "
+        "bread to neighbours."),
+    (4, "Ship Cook", "Cook meals for a crew of ten on a cargo ship, order supplies and keep the galley clean. Harbour "
+        "leave monthly."),
 ]
 
 
@@ -42,6 +42,6 @@ def five_index(five):
 
 @pytest.fixture(scope="session")
 def sample_queries(spark):
-    rows = [(1, "python machine learning engineer"), (2, "react frontend web developer"),
-            (3, "project management agile"), (4, "python python learning"), (5, "the of"), (6, ""), (7, "zzz")]
+    rows = [(1, "sourdough baker bread ovens"), (2, "harbour crane container"),
+            (3, "galley supplies clean"), (4, "bread bread flour"), (5, "the of"), (6, ""), (7, "zzz")]
     return spark.createDataFrame(rows, "query_id bigint, text string")

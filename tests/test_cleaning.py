@@ -47,3 +47,11 @@ def test_unmapped_categories_stand_for_themselves(spark):
 def test_distinct_categories(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",)], "c string")
     assert [r[0] for r in cleaning.distinct_categories(df, "c").collect()] == ["a", "b"]
+
+
+def test_numbers_with_type_letters_are_no_numbers(spark):
+    from matchlake.operators import cleaning
+
+    cells = ["12d", "1f", "0x1p3", " 12 ", "-1.5e3", ".5", "7.", "inf", "n/a", "", None]
+    got = cleaning.lenient_numbers(spark.createDataFrame([(c,) for c in cells], "x string"), ["x"]).collect()
+    assert [r["x"] for r in got] == [None, None, None, 12.0, -1500.0, 0.5, 7.0, float("inf"), None, None, None]

@@ -16,7 +16,7 @@ def docs(spark, five):
 
 @pytest.fixture(scope="module")
 def queries(spark):
-    return spark.createDataFrame([(7, "BANKING", "python"), (8, "SALES", "python learning")],
+    return spark.createDataFrame([(7, "BANKING", "flour"), (8, "SALES", "sourdough bread")],
                                  "query_id bigint, category string, text string")
 
 

@@ -3,18 +3,18 @@ from pyspark.sql import functions as F
 
 from matchlake.operators import metrics
 
-JUDGED = [(10, 3), (20, 2), (30, 1), (40, 0), (50, 0)]
+JUDGED = [(11, 2), (12, 0), (13, 3), (14, 0), (15, 1), (16, 2)]
 
 
 @pytest.fixture(scope="module")
 def judgments(spark):
-    rows = [(q, d, r) for q in (1, 2, 3) for d, r in JUDGED] + [(4, 10, 0), (5, 10, 3)]
+    rows = [(q, d, r) for q in (1, 2, 3) for d, r in JUDGED] + [(4, 13, 0), (5, 13, 3)]
     return spark.createDataFrame(rows, "query_id bigint, doc_id bigint, relevance int")
 
 
 @pytest.fixture(scope="module")
 def ranked(spark):
-    lists = {1: [10, 20, 30, 40, 50], 2: [40, 50, 30, 20, 10], 4: [10]}
+    lists = {1: [13, 11, 16, 15, 12, 14], 2: [12, 15, 11, 14, 13, 16], 4: [13]}
     rows = [(q, d, i) for q, ds in lists.items() for i, d in enumerate(ds, 1)]
     return spark.createDataFrame(rows, "query_id bigint, doc_id bigint, rank int")
 
@@ -32,16 +32,16 @@ def rows(df):
 def test_golden_metrics(judgments, ranked, known, monkeypatch, block):
     monkeypatch.setattr(metrics, "RANK_BLOCK", block)
     got = rows(metrics.per_query(judgments, ranked, known, (3, 5, 10)))
-    assert got[1] == {"p_at_3": 0.666667, "ndcg_at_3": 1.0, "p_at_5": 0.4, "ndcg_at_5": 1.0, "p_at_10": 0.2,
+    assert got[1] == {"p_at_3": 1.0, "ndcg_at_3": 1.0, "p_at_5": 0.6, "ndcg_at_5": 1.0, "p_at_10": 0.3,
                       "ndcg_at_10": 1.0, "ap": 1.0}
-    assert (got[2]["p_at_3"], got[2]["ndcg_at_5"], got[2]["ap"]) == (0.0, 0.479091, 0.325)
+    assert (got[2]["p_at_3"], got[2]["ndcg_at_5"], got[2]["ap"]) == (0.333333, 0.447075, 0.411111)
     assert set(got[3].values()) == set(got[4].values()) == {0.0} and set(got) == {1, 2, 3, 4}
 
 
 def test_aggregate_and_report(judgments, ranked, known):
     two = metrics.per_query(judgments, ranked, known.filter("query_id < 3"))
     agg = metrics.aggregate(two).first()
-    assert agg["num_queries"] == 2 and round(agg["map"], 6) == 0.6625 and round(agg["std_ap"], 6) == 0.3375
+    assert agg["num_queries"] == 2 and round(agg["map"], 6) == 0.705556 and round(agg["std_ap"], 6) == 0.294444
     names = [r["metric"] for r in metrics.report(metrics.aggregate(two)).orderBy("position").collect()]
     assert names == ["AP", "NDCG@10", "NDCG@20", "NDCG@5", "P@10", "P@20", "P@5", "MAP"]
 

@@ -35,9 +35,16 @@ def test_all_steps(spark, tmp_path):
     assert not jobs.build_indexes(spark, jobs.Layout(str(tmp_path / "nothing")))
 
 
+def test_all_steps_without_vectors(spark, tmp_path):
+    postings, profiles = corpus(spark)
+    out = jobs.Layout(str(tmp_path))
+    assert jobs.run_all(spark, postings, profiles, out, with_vectors=False).count() > 0
+    assert not (tmp_path / "jobs_vectors").exists()
+
+
 def test_stream_equals_batch(spark, tmp_path, five_index):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    texts = ["python machine learning engineer", "react frontend web developer", "project management agile"]
+    texts = ["sourdough baker bread ovens", "harbour crane container", "galley supplies clean"]
     for part in range(2):
         spark.createDataFrame([(part * 3 + i, t) for i, t in enumerate(texts)], "query_id bigint, text string") \
             .coalesce(1).write.mode("append").parquet(source)

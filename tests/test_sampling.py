@@ -41,7 +41,7 @@ def test_samples_do_not_depend_on_partitioning(docs):
 
 def test_stratified_queries(docs):
     rows = sampling.stratified_queries(docs, "doc_id", "category", 11).groupBy("category").count().collect()
-    assert {r["category"]: r["count"] for r in rows} == {"hot": 5, "rare": 5}
+    assert {r["category"]: r["count"] for r in rows} == {"hot": 3, "rare": 3}  # nulls are the third share
     assert sampling.stratified_queries(docs, "doc_id", "category", 3).count() == 3
 
 
@@ -89,3 +89,38 @@ def test_half_and_half(docs, queries):
         assert sum(s for _, s in picked) == (0 if own == "absent" else 10)
     only = named.filter("category = 'rare'").limit(6)
     assert sampling.half_and_half(queries.filter("category = 'rare'"), only, 20).count() == 6 * 3
+
+
+def test_draws_are_independent(spark):
+    """Every document, and every pair of documents, is drawn about as often as any other."""
+    asked, n, k = 2000, 12, 3
+    queries, docs = spark.range(asked).withColumnRenamed("id", "query_id"), spark.range(n).withColumnRenamed("id", "doc_id")
+    by = {}
+    for r in sampling.random_candidates(queries, docs, k).collect():
+        by.setdefault(r["query_id"], set()).add(r["doc_id"])
+    one, two = {}, {}
+    for v in by.values():
+        for a in v:
+            one[a] = one.get(a, 0) + 1
+            for b in v:
+                if a < b:
+                    two[a, b] = two.get((a, b), 0) + 1
+    assert len(by) == asked and len(one) == n and len(two) == n * (n - 1) // 2
+    assert all(abs(x - asked * k / n) < 110 for x in one.values())
+    assert all(abs(x - asked * k * (k - 1) / n / (n - 1)) < 50 for x in two.values())
+    assert len(set(map(frozenset, by.values()))) > 200
+
+
+def test_places_beyond_32_bits_can_be_drawn(spark):
+    n = 1 << 40
+    q = spark.range(300).select(sampling.chosen(1, "draw", F.col("id"), F.lit(4).cast("long"), F.lit(n)).alias("p"))
+    got = [x for r in q.collect() for x in r["p"]]
+    assert len(set(got)) == len(got) == 1200 and max(got) > 0.99 * n and min(got) < 0.01 * n
+    assert sum(x > n / 2 for x in got) in range(520, 680)
+    few = spark.range(50).select(sampling.chosen(1, "draw", F.col("id"), F.lit(5).cast("long"), F.lit(5)).alias("p")).collect()
+    assert all(sorted(r["p"]) == [0, 1, 2, 3, 4] for r in few)
+
+
+def test_null_category_counts_in_the_share(spark):
+    rows = spark.range(40).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 20, "a").alias("category"))
+    assert sampling.stratified_queries(rows, "doc_id", "category", 10).count() == 5

@@ -76,3 +76,24 @@ def test_character_classes_equal_python(spark):
     got = apply(spark, lambda c: F.regexp_replace(c, text.NOT_KEPT.removesuffix("++"), " "), samples)
     off = sum(a != b for g, s in zip(got, samples) for a, b in zip(g, keep.sub(" ", s)))
     assert off <= 60
+
+
+def test_fixed_lists_are_pinned():
+    """The SQL checks share these lists with the engine, so a changed word shows here only."""
+    import hashlib
+
+    from matchlake.functions import fixed
+
+    digest = lambda x: hashlib.sha256(repr(x).encode()).hexdigest()[:16]
+    got = {n: (len(v), digest(sorted(v) if isinstance(v, (set, frozenset)) else v)) for n, v in vars(fixed).items()
+           if n.isupper() and isinstance(v, (str, tuple, list, set, frozenset, dict)) and len(v) > 20}
+    assert got == PINNED
+
+
+PINNED = {
+    "STOPWORDS": (177, "5e80f99e21ad5429"),
+    "TOKEN_PATTERN": (24, "f2f3fd0512c0d2ce"),
+    "CATEGORY_MAP": (24, "889c6129ca70e053"),
+    "SEARCH_LINK": (47, "5e932fce2cd13b10"),
+    "JUDGE_PROMPT": (587, "cbc4d27e5f43f0ad"),
+}

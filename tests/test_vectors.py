@@ -74,3 +74,11 @@ def test_job_vectors_of_a_sample(spark, five):
     jobs = five.withColumnRenamed("doc_id", "job_id")
     built = vectors.build_job_vectors(jobs, sample_size=3)
     assert built.vectors.count() == 3 and built.meta.columns == ["doc_id", "title", "company", "category"]
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_values": 0, "query_block": 2, "doc_block": 2}])
+def test_unusable_vectors_take_no_part(spark, options):
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [1.0, 0.0, 0.0])], "query_id bigint, embedding array<double>")
+    d = spark.createDataFrame([(5, [1.0, 0.0]), (6, None), (7, [0.5]), (None, [1.0, 1.0]), (8, [0.0, 1.0])], "doc_id bigint, embedding array<double>")
+    rows = vectors.search_vectors(q.orderBy("query_id"), d, 5, **options).collect()
+    assert [(r["query_id"], r["doc_id"], r["rank"]) for r in sorted(rows, key=lambda r: r["rank"])] == [(1, 5, 1), (1, 8, 2)]
