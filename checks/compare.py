@@ -50,6 +50,8 @@ def compare(spark, con, sf: str, name: str) -> tuple[str | None, int, float, flo
     t = time.time()
     got = QUERIES[name](spark, sf).toArrow()
     t, spark_s = time.time(), time.time() - t
+    if name not in ORACLE:
+        return None, got.num_rows, spark_s, 0.0
     wanted = con.execute(ORACLE[name]).to_arrow_table()
     return difference(got, wanted), got.num_rows, spark_s, time.time() - t
 

@@ -140,6 +140,14 @@ DOC_VECTORS = hashed("(select doc_id, title || '. ' || title || '. ' || substrin
                      "doc_id", "t2", "dv")
 
 
+RESUME_VECTORS = hashed("(select doc_id, substring(text, 1, 1000) as t2 from jobs)", "doc_id", "t2", "dv")
+
+
+def given(c):
+    """A cell read back from a CSV: missing-value markers are null."""
+    return f"case when trim({c}) in ({', '.join(lit(t) for t in fixed.NA_TOKENS)}) then null else {c} end"
+
+
 def vec_top(queries, k, name="sem"):
     return f"{vec_scores(queries, name + '_s')}, {ranked(name + '_s', k, name)}"
 
@@ -362,6 +370,23 @@ ORACLE = {
                   "join jobs using (doc_id)",
     "match_resumes": f"with {lexical((('text', 1.0, 0.75),))}, {ITEMS}, {lex_top('q', 10)} select query_id, rank, doc_id, "
                      "category, substring(text, 1, 600) as text, round(score, 4) as score from lex join jobs using (doc_id)",
+    "match_resumes_hybrid": f"with {lexical((('text', 1.0, 0.75),))}, {RESUME_VECTORS}, {ITEMS}, {hybrid('q', 10)} "
+                            "select query_id, rank, doc_id, category, substring(text, 1, 600) as text, "
+                            "round(score, 4) as score from hyb join jobs using (doc_id)",
+    "csv_postings": f"with {JOBS} select job_id, {given('title')} as title, {given('description')} as description, "
+                    f"{given('company')} as company_name from jobs",
+    "csv_resumes": f"select doc_id as ID, {given('text')} as Resume_str, {given('lang')} as Category from documents",
+    "csv_large_postings": f"""with s as (select url, max(array_to_string(string_split(url, '/')[1:3], '/')) as skills, count(*) as n
+      from pages group by url) select url as job_link, {given('substring(html, 1, 80)')} as job_title, NULL::VARCHAR as company,
+      skills, n from pages join s using (url)""",
+    "category_map_roundtrip": "select distinct source as raw, upper(source) as mapped from documents",
+    "first_rows": "select doc_id, text from documents order by doc_id limit 100",
+    "blank_queries": "select conv_id, turn, text from conversations where text is not null and "
+                     f"regexp_matches(text, {lit(NS)})",
+    "model_encoder": """with d as (select doc_id, [length(text), length(text) - length(replace(text, 'e', '')),
+      length(text) - length(replace(text, 'n', ''))]::DOUBLE[] as v from documents)
+      select doc_id, i::INTEGER - 1 as i, round(v[i] / case when list_inner_product(v, v) > 0 then
+      sqrt(list_inner_product(v, v)) else 1 end, 5) as v from d, range(1, 4) r(i)""",
     "match_streamed": f"with {LEX}, {ITEMS}, {lex_top('q', 10)} select {OUT} from lex",
     "sample_simple": f"select doc_id, lang from documents order by {H}, doc_id limit 100",
     "sample_stratified": f"with {PICKED} select query_id, category from sq",

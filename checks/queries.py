@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from matchlake.functions import labels, text
 from matchlake.operators import cleaning, fusion, judging, lexical, metrics, profiling, sampling, vectors
 from matchlake.operators.common import scratch_dir
+from matchlake.plans import jobs as plans
 from matchlake.sources import index_store, readers
 from matchlake.streaming.matching import match_stream
 
@@ -486,6 +487,81 @@ def distinct_categories(spark, sf):
     return cleaning.distinct_categories(table(spark, sf, "documents"), "lang")
 
 
+# Files, defaults and whole runs ------------------------------------------------------------------
+
+def csv_postings(spark, sf):
+    """Documents written as a postings CSV, then read by the first of two paths that exists."""
+    path = scratch_dir(spark, "postings")
+    readers.write_table(jobs(spark, sf).withColumn("extra", F.lit("x")), path, "csv")
+    return readers.read_postings(spark, path + "-absent", path).select("job_id", "title", "description", "company_name")
+
+
+def csv_resumes(spark, sf):
+    path = scratch_dir(spark, "resumes")
+    readers.write_table(resumes(spark, sf), path, "csv")
+    return readers.read_resumes(spark, path).select("ID", "Resume_str", "Category")
+
+
+def csv_large_postings(spark, sf):
+    """Only the wanted columns of a wide table, beside its skills."""
+    path = scratch_dir(spark, "large")
+    pages = table(spark, sf, "pages").select(F.col("url").alias("job_link"), F.substring("html", 1, 80).alias("job_title"),
+                                             F.lit("N/A").alias("company"), F.col("html").alias("not_wanted"), F.lit(1).alias("other"))
+    readers.write_table(pages, path, "csv")
+    skills = table(spark, sf, "pages").select(F.col("url").alias("job_link"), F.substring_index("url", "/", 3).alias("job_skills"))
+    readers.write_table(skills, path + "-skills", "csv")
+    large, companion = readers.read_large_postings(spark, path, path + "-skills")
+    counted = companion.groupBy("job_link").agg(F.max("job_skills").alias("skills"), F.count("*").alias("n"))
+    return large.join(counted, "job_link").select("job_link", "job_title", "company", "skills", "n")
+
+
+def category_map_roundtrip(spark, sf):
+    path = scratch_dir(spark, "map")
+    pairs = table(spark, sf, "documents").select(F.col("source").alias("raw"), F.upper("source").alias("mapped")).distinct()
+    readers.write_category_map(pairs, path)
+    return readers.read_category_map(spark, path)
+
+
+def first_rows(spark, sf):
+    return readers.first_rows(table(spark, sf, "documents"), "doc_id", 100).select("doc_id", "text")
+
+
+def blank_queries(spark, sf):
+    """Conversation turns with blank ones beside them; only those with a text are asked."""
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    blanks = turns.select("conv_id", (F.col("turn") + 1000).alias("turn"),
+                          F.element_at(F.array(F.lit(None).cast("string"), F.lit(""), F.lit(" \t\n"), F.lit("\u00a0")),
+                                       (F.col("turn") % 4 + 1).cast("int")).alias("text"))
+    return fusion.not_blank(turns.union(blanks))
+
+
+def _letters():
+    """A model of three numbers per text: characters, and the letters e and n."""
+    def predict(texts):
+        import numpy as np
+
+        return np.array([[len(t), t.count("e"), t.count("n")] for t in texts], dtype="float32").reshape(len(texts), 3)
+
+    return predict
+
+
+def model_encoder(spark, sf):
+    coded = vectors.encode(table(spark, sf, "documents"), "doc_id", F.col("text"), vectors.ModelEncoder(_letters))
+    return coded.select("doc_id", F.posexplode("embedding").alias("i", "v")).select(
+        "doc_id", "i", F.round(F.col("v").cast("double"), 5).alias("v"))
+
+
+def match_resumes_hybrid(spark, sf):
+    lex = lexical.build_resume_index(resumes(spark, sf))
+    vec = vectors.build_resume_vectors(resumes(spark, sf))
+    return fusion.match_resumes(items(spark, sf), lex, vec)
+
+
+def pipeline_report(spark, sf):
+    """Clean, index, judge and evaluate, with documents on both sides."""
+    return plans.run_all(spark, jobs(spark, sf), resumes(spark, sf), plans.Layout(scratch_dir(spark, "run")))
+
+
 QUERIES = {f.__name__: f for f in (
     strip_html_pages, strip_tags_pages, clean_pages, clean_documents, clean_funnel, dedup_documents, lenient_cast,
     level_default, fallback_text, category_normalise, classify_title, search_link, match_label, judge_parse, tokens,
@@ -496,4 +572,5 @@ QUERIES = {f.__name__: f for f in (
     sample_topup, candidates_random, candidates_half, judge_prompts, judgments_graded, judgments_category,
     judgments_pooled, grade_distribution, judgments_roundtrip, eval_per_query, eval_aggregate, eval_report,
     eval_compare, corpus_sizes, length_histogram, length_stats, html_lengths, category_counts, top_terms,
-    level_counts, distinct_categories)}
+    level_counts, distinct_categories, csv_postings, csv_resumes, csv_large_postings, category_map_roundtrip,
+    first_rows, blank_queries, model_encoder, match_resumes_hybrid, pipeline_report)}

@@ -108,7 +108,10 @@ def read_category_map(spark: SparkSession, path: str) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer = df.write.mode("overwrite")
-    writer.option("header", True).option("escape", '"').csv(path) if fmt == "csv" else writer.parquet(path)
+    if fmt == "csv":  # blanks around a cell are part of it
+        writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    else:
+        writer.parquet(path)
 
 
 def judgments(df: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ def test_equals_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(ORACLE) == set(queries.QUERIES)
+    assert set(ORACLE) == set(queries.QUERIES) - {"pipeline_report"}  # a whole run: many steps, no single SQL
 
 
 @needs_data
