@@ -4,7 +4,7 @@ A page's leaf blocks are read in order: each has the path of open tags above it
 numpy reads, per block, a vector of hashed tag-path tokens, hashed words and a few counts, so the label of a block
 follows from the whole document before and after it. Blocks labelled as main text are joined by line breaks.
 
-The model is trained where it is used, on a bounded sample of pages (TRAIN_PAGES, the least by hash): blocks inside an
+The model is trained where it is used, on a bounded sample of pages (TRAIN_PAGES, by hash): blocks inside an
 article or main element and outside of menus, forms, asides and the like are positive. Each training page is also read
 in disguise: its elements renamed to plain `div`s with usual class names, with further menus, notices, adverts, forms
 and reader comments around and inside the article, so that the labels do not hang on one template.
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.shared import ship
+from matchlake.llm.shared import bounded_sample, ship
 
 TRAIN_PAGES = 320  # pages that the labeller is fitted on, at most
 TRAIN_CHARS = 60_000  # longer pages are not fitted on; all pages are labelled whole
@@ -349,17 +349,18 @@ def fit(sources: list[str], seed: int = SEED) -> dict[str, np.ndarray] | None:
     return train(pages, labels, seed=seed) if pages else None
 
 
-def training_pages(pages: DataFrame, html: str, n: int = TRAIN_PAGES) -> list[str]:
+def training_pages(pages: DataFrame, page_id: str, html: str, n: int = TRAIN_PAGES) -> list[str]:
     """At most n pages' html, of TRAIN_CHARS characters at most each: the least by hash."""
-    fitting = pages.select(F.col(html).alias("html")).filter(F.length("html").between(1, TRAIN_CHARS))
-    return [r.html for r in fitting.orderBy(F.xxhash64("html"), "html").limit(n).collect()]
+    fitting = pages.select(F.col(page_id).alias("page_id"), F.col(html).alias("html")).filter(
+        F.length("html").between(1, TRAIN_CHARS))
+    return [r.html for r in bounded_sample(fitting, n, "page_id", "html").collect()]
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", model: dict | None = None,
             joint: str = "\n") -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     ship(pages.sparkSession)
-    model = model or fit(training_pages(pages, html))
+    model = model or fit(training_pages(pages, page_id, html))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

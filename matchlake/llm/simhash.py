@@ -192,22 +192,23 @@ def connected(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """edges(a, b) -> node, root: the least node of each component, for every node that has a link.
 
     A large-star step links the greater neighbours of a node to its least neighbour, a small-star step the lesser
-    ones. Neither needs the neighbours of a node in one place: least neighbours are an aggregate that is joined back."""
+    ones. Neither needs the neighbours of a node in one place: least neighbours are an aggregate that is written and
+    joined back, so Spark can split the join at a node that most links share."""
     def large(e: DataFrame) -> DataFrame:
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = settle(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
     def small(e: DataFrame) -> DataFrame:
         down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
+        least = settle(down.groupBy("a").agg(F.min("b").alias("m")), "least")
         return down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").union(
             least.select("a", F.col("m").alias("b")))
 
     e = settle(edges.filter("a <> b").distinct(), "links")
     state = None
     for _ in range(rounds):
-        e = settle(small(large(e)).distinct(), "links")
+        e = settle(small(settle(large(e).distinct(), "links")).distinct(), "links")
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break

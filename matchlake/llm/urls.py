@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.shared import lower_ascii
+from matchlake.llm.shared import bounded_sample, lower_ascii
 from matchlake.operators.common import settle
 
 # The rules as (verdict, host and path).
@@ -184,7 +184,7 @@ def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules=RU
     """One row per page: page_id, host, path, rule, verdict, block_score (probability that the trees give)."""
     rows = settle(parsed(pages, page_id, url, rules), "url-features")
     labelled = rows.filter(F.col("said").isNotNull()).withColumn("y", (F.col("said") == "block").cast("double"))
-    sample = settle(labelled.orderBy(F.xxhash64("host", "path", "page_id")).limit(sample_rows).coalesce(2), "url-labels")
+    sample = settle(bounded_sample(labelled, sample_rows, "page_id", "host", "path").coalesce(2), "url-labels")
     p = F.round(1 / (1 + F.exp(-score(*fit(with_rates(sample, sample))))), 6)
     out = with_rates(rows, sample).withColumn("block_score", p)
     verdict = F.coalesce("said", F.when(F.col("block_score") >= 0.5, "block").otherwise("allow"))

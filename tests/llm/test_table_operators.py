@@ -184,7 +184,7 @@ def test_coalesced_ranges():
 
 @pytest.fixture(scope="module")
 def labeller(spark):
-    return html.fit(html.training_pages(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"), "html"))
+    return html.fit(html.training_pages(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"), "page_id", "html"))
 
 
 def test_html_on_held_out_pages(spark, labeller):
