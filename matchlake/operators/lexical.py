@@ -22,8 +22,6 @@ from matchlake.functions.text import resume_snippet, text_or_empty, tokens
 from matchlake.operators.common import BROADCAST_CHARS, BROADCAST_ROWS, build_left, hint_small, is_at_most, settle, top_k
 from matchlake.sources.readers import pick
 
-SALTS = 16
-
 
 @dataclass(frozen=True)
 class LexicalIndex:
@@ -232,14 +230,13 @@ def with_meta(ranked: DataFrame, meta: DataFrame, few: bool) -> DataFrame:
 
     `few` says the ranked rows are within the broadcast bound: they are hashed and the wide table
     streams past them; stored metadata is bucketed by document and then needs no shuffle. Otherwise
-    only ranked documents leave the wide table, and a document found by most queries is salted."""
+    only ranked documents leave the wide table, once each, and Spark's adaptive join splits the ranked
+    rows of a document that most queries found."""
     if few:
         return build_left(ranked, few).join(meta, "doc_id", "left")
     ranked = settle(ranked, "ranked")
     held = meta.join(ranked.select("doc_id").distinct(), "doc_id", "left_semi")
-    held = held.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = ranked.withColumn("_salt", F.pmod(F.xxhash64("query_id"), F.lit(SALTS)).cast("int"))
-    return salted.join(held, ["doc_id", "_salt"], "left").drop("_salt")
+    return ranked.join(held, "doc_id", "left")
 
 
 def add_documents(index: LexicalIndex, docs: DataFrame, meta: DataFrame | None = None) -> LexicalIndex:

@@ -39,7 +39,7 @@ def clean(jobs: DataFrame | None, resumes: DataFrame | None, out: Layout) -> boo
 
 
 def build_indexes(spark: SparkSession, out: Layout, encoder: Encoder | None = None, n_jobs: int | None = None,
-                  partitions: int | None = None, term_parts: int = 0, with_vectors: bool = True) -> bool:
+                  partitions: int | None = None, term_parts: int = 16, with_vectors: bool = True) -> bool:
     """Lexical and, if wanted, vector indexes of both tables, of a stratified sample of jobs when `n_jobs` is given."""
     jobs = readers.read_if_exists(spark.read.parquet, out.jobs)
     resumes = readers.read_if_exists(spark.read.parquet, out.resumes)
