@@ -204,7 +204,8 @@ def search(index: LexicalIndex, queries: DataFrame, k: int = 10, max_terms: int
 def score_pairs(index: LexicalIndex, queries: DataFrame, pairs: DataFrame, few: bool | None = None) -> DataFrame:
     """Score of given (query_id, doc_id) pairs; a repeated query term counts each time, no hit is 0.
 
-    Few pairs are hashed and fetch their documents' postings bucket by bucket."""
+    Few pairs are hashed and meet the postings of the queries' terms bucket by bucket; the terms, whose text is
+    within the broadcast bound, prune term partitions."""
     few = is_at_most(pairs, BROADCAST_ROWS) if few is None else few
     cut = queries.select("query_id", F.explode_outer(tokens(F.col("text"), index.stemmed)).alias("term"))
     terms = cut.filter("term is not null").groupBy("query_id", "term").agg(F.count("*").alias("times"))
@@ -212,11 +213,14 @@ def score_pairs(index: LexicalIndex, queries: DataFrame, pairs: DataFrame, few:
         "query_id", "term", (F.col("idf") * F.col("times")).alias("weight"))
     asked = pairs.select("query_id", "doc_id").distinct()
     keys = ["query_id", "doc_id"]
-    if few:
-        held = build_left(asked, few).join(saturation(index), "doc_id", "left")
-        hits = held.join(weighed, ["query_id", "term"], "left")
-        added = F.coalesce(F.col("weight") * F.col("saturation"), F.lit(0.0))
-        return hits.groupBy(*keys).agg(F.sum(added).alias("score"))
+    if few and few_queries(queries, fixed.MAX_QUERY_TERMS):
+        known, on = weighed.select("term").distinct(), ["term"]
+        if index.term_parts:
+            known, on = known.withColumn("term_part", term_part(F.col("term"), index.term_parts)), ["term_part", "term"]
+        held = build_left(asked, few).join(saturation(index).join(F.broadcast(known), on, "left_semi"), "doc_id")
+        hits = held.join(weighed, ["query_id", "term"])
+        sums = hits.groupBy(*keys).agg(F.sum(F.col("weight") * F.col("saturation")).alias("score"))
+        return asked.join(sums, keys, "left").fillna(0.0, subset=["score"])
     # Many pairs meet on (document, term), which spreads a document or query most pairs share.
     asked = settle(asked, "pairs")
     held = saturation(index).join(asked.select("doc_id").distinct(), "doc_id", "left_semi")
