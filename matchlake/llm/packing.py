@@ -38,7 +38,7 @@ END_ID = 1
 CAPACITY = 4096
 OPEN_BINS = 256
 SHARE_BINS = 2_000  # sequences that a share fills, about
-CACHED_WORDS = 1_000_000  # distinct words whose ids a Python worker remembers, at most
+CACHED_WORDS = 400_000  # distinct words whose ids a Python worker remembers, at most
 
 PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", share long, bin long, offset long, closed boolean"

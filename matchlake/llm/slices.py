@@ -1,6 +1,6 @@
 """Slices of a corpus, rolling hashes over them, and an exchange of content hashes between slices.
 
-A slice is a row that holds some whole documents, a few megabytes of text. Operators look for content that slices
+A slice is a row that holds some whole documents, about two megabytes of text. Operators look for content that slices
 share: every slice sends its distinct content hashes, packed and dealt by hash range, to buckets; a bucket sees all
 slices' entries for its range and answers with a code per entry. The number of buckets grows with the corpus, and a
 content that occurs a million times in a slice is one entry of it, so frequent contents do not make a bucket large.
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from matchlake.operators.common import settle
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 BUCKET_ENTRIES = 100_000
 HASH_BITS = 48  # of the hash that deals entries to buckets
 NO_ID = np.iinfo(np.int64).max  # stands for a null doc_id: after all ids
