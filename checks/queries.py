@@ -559,7 +559,8 @@ def match_resumes_hybrid(spark, sf):
 
 def pipeline_report(spark, sf):
     """Clean, index, judge and evaluate, with documents on both sides."""
-    return plans.run_all(spark, jobs(spark, sf), resumes(spark, sf), plans.Layout(scratch_dir(spark, "run")))
+    return plans.run_all(spark, jobs(spark, sf), resumes(spark, sf), plans.Layout(scratch_dir(spark, "run")),
+                         term_parts=2)
 
 
 QUERIES = {f.__name__: f for f in (

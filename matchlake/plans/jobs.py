@@ -89,8 +89,9 @@ def evaluate(spark: SparkSession, out: Layout, k: int = 50, encoder: Encoder | N
 
 
 def run_all(spark: SparkSession, jobs: DataFrame | None, resumes: DataFrame | None, out: Layout,
-            encoder: Encoder | None = None, with_vectors: bool = True) -> DataFrame | None:
-    if not (clean(jobs, resumes, out) and build_indexes(spark, out, encoder, with_vectors=with_vectors)):
+            encoder: Encoder | None = None, **index_options) -> DataFrame | None:
+    """All steps in a row; further options are those of `build_indexes`."""
+    if not (clean(jobs, resumes, out) and build_indexes(spark, out, encoder, **index_options)):
         return None
     judge(spark, out, encoder=encoder)
     return evaluate(spark, out, encoder=encoder)
