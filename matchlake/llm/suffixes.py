@@ -31,16 +31,17 @@ from matchlake.llm.shared import ship
 LENGTH = 50
 ANCHOR = 24
 SHALLOW = 16
+SECOND_VALUES = S.mix(S.BYTE_VALUES ^ np.uint64(0x5851F42D4C957F2D))  # bytes of a second hash, not tied to the first
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
 
 class Runs:
-    """The runs of a slice: first window, end of windows, document, anchor hash and hash of the bytes."""
+    """The runs of a slice: first window, end of windows, document, anchor hash and two hashes of the bytes."""
 
     def __init__(self, s: S.Slice, length: int, anchor: int):
         n, none = len(s.bytes), np.zeros(0, np.int64)
         self.start = self.stop = self.document = none
-        self.h = self.r = none.astype(np.uint64)
+        self.h = self.r = self.second = none.astype(np.uint64)
         sizes = np.diff(s.bounds)
         if not (sizes >= length).any():
             return
@@ -63,27 +64,29 @@ class Runs:
         self.start, self.stop = windows[first], windows[np.r_[first[1:], len(windows)] - 1] + 1
         self.document = s.document_at(self.start)
         self.h = S.mix(grams[at[first]] ^ np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - S.HASH_BITS)
-        self.r = S.stretch_hash(prefix, self.start, self.stop + length - 1) >> np.uint64(24)
+        self.r = S.stretch_hash(prefix, self.start, self.stop + length - 1)
+        other = S.prefix_hash(SECOND_VALUES[s.bytes])
+        self.second = S.stretch_hash(other, self.start, self.stop + length - 1) >> np.uint64(64 - S.HASH_BITS)
 
     def entries(self, ids: np.ndarray):
-        """Distinct (h, r) in order, the least id of each, the run that holds it, and each run's entry."""
+        """Distinct (h, r, second) in order, the least id of each, the run that holds it, and each run's entry."""
         own = ids[self.document]
-        order = np.lexsort((own, self.r, self.h))
-        h, r = self.h[order], self.r[order]
-        starts = S.group_starts(h, r)
+        order = np.lexsort((own, self.second, self.r, self.h))
+        h, r, second = self.h[order], self.r[order], self.second[order]
+        starts = S.group_starts(h, r, second)
         number = np.empty(len(order), np.int64)
         number[order] = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(order)]))
-        return h[starts], r[starts], own[order][starts], order[starts], number
+        return (h[starts], r[starts], second[starts]), own[order][starts], order[starts], number
 
 
 LATER, MIXED = 1, 2
 
 
-def compare_runs(h: np.ndarray, r: np.ndarray, doc: np.ndarray, _) -> np.ndarray:
+def compare_runs(h: np.ndarray, r: np.ndarray, second: np.ndarray, doc: np.ndarray, _) -> np.ndarray:
     """LATER: a smaller document has an equal run. MIXED: the first of its kind, with other runs at its anchor."""
-    order = np.lexsort((doc, r, h))
-    h, r, d = h[order], r[order], doc[order]
-    kinds, anchors = S.group_starts(h, r), S.group_starts(h)
+    order = np.lexsort((doc, second, r, h))
+    h, d = h[order], doc[order]
+    kinds, anchors = S.group_starts(h, r[order], second[order]), S.group_starts(h)
     first = np.repeat(d[kinds], np.diff(np.r_[kinds, len(h)]))
     low, high = np.minimum.reduceat(first, anchors), np.maximum.reduceat(first, anchors)
     codes = np.where(d > first, LATER, np.where(np.repeat(low < high, np.diff(np.r_[anchors, len(h)])), MIXED, 0))
@@ -202,13 +205,13 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
         for b in batches:
             for _, row in b.iterrows():
                 s = S.Slice.of(row)
-                h, r, doc, _, _ = Runs(s, length, anchor).entries(s.ids)
-                yield S.blob_rows(list(S.dealt(row["slice"], h, [r, doc], buckets)))
+                (h, r, second), doc, _, _ = Runs(s, length, anchor).entries(s.ids)
+                yield S.blob_rows(list(S.dealt(row["slice"], h, [r, second, doc], buckets)))
 
     def unsettled(left: pd.DataFrame, codes: pd.DataFrame) -> pd.DataFrame:
         s = S.Slice.of(left.iloc[0])
         own = Runs(s, length, anchor)
-        h, _, doc, holder, _ = own.entries(s.ids)
+        (h, _, _), doc, holder, _ = own.entries(s.ids)
         pick = np.flatnonzero(S.codes_of(codes) == MIXED)
         rows, bucket = [], ((h[pick] >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(S.HASH_BITS - 16)
         starts = S.group_starts(bucket)
@@ -233,7 +236,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
     def kept(left: pd.DataFrame, codes: pd.DataFrame) -> pd.DataFrame:
         s = S.Slice.of(left.iloc[0])
         own = Runs(s, length, anchor)
-        _, _, doc, _, number = own.entries(s.ids)
+        _, doc, _, number = own.entries(s.ids)
         code = S.codes_of(codes[codes["step"] == 1])
         bits = np.zeros(len(doc), np.uint64)
         bits[code == MIXED] = S.codes_of(codes[codes["step"] == 2], np.uint64)
@@ -254,7 +257,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
         out.insert(0, "doc_id", s.doc_ids())
         return out
 
-    first = S.answered(cut.mapInPandas(runs, S.BLOBS), [np.uint64, np.int64], compare_runs)
+    first = S.answered(cut.mapInPandas(runs, S.BLOBS), [np.uint64, np.uint64, np.int64], compare_runs)
     open_runs = cut.groupBy("slice").cogroup(first.groupBy("slice")).applyInPandas(unsettled, S.BLOBS)
     second = S.settle(open_runs.groupBy("bucket").applyInPandas(sort, S.CODES), "codes")
     both = first.selectExpr("*", "1 as step").union(second.selectExpr("*", "2 as step"))

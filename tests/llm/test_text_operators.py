@@ -10,6 +10,7 @@ import pytest
 import xxhash
 
 from matchlake.llm import packing, simhash, substrings, suffixes
+from matchlake.llm import slices as S
 from matchlake.llm.simhash import bucket_links, covering_masks, components
 from tests.llm.conftest import rows
 
@@ -148,6 +149,16 @@ def test_suffixes_equal_brute_force(pair):
     assert sum(w[2] for w in want) > 1000
 
 
+def test_runs_that_agree_in_forty_bits_are_told_apart(spark):
+    phrase = "wqlctjerxbotdtgcuqpuvzdmin a different"  # its first 24 bytes are the anchor of all four texts
+    ends = ["selvoftjgznu", "darfphwwjkdz", "fcqqjsmcvxie", "qfetudhlwogl"]
+    docs = spark.createDataFrame([(i, phrase + e) for i, e in enumerate(ends)], "doc_id long, text string")
+    prefixes = [S.prefix_hash(S.BYTE_VALUES[np.frombuffer((phrase + e).encode(), np.uint8)]) for e in ends]
+    top = [int(S.stretch_hash(p, np.array([0]), np.array([50]))[0]) >> 24 for p in prefixes]
+    assert top[0] == top[1] and top[2] == top[3]
+    assert [r["n_removed"] for r in rows(suffixes.dedup(docs))] == [0] * 4
+
+
 def test_dedups_of_no_rows(empty):
     assert rows(suffixes.dedup(empty)) == [] and rows(substrings.dedup(empty)) == []
 
