@@ -6,7 +6,10 @@ it the one whose hash is least. Equal windows pick equal anchors at equal places
 pick the same one, so a text falls into runs of windows. Runs with equal bytes are settled at once: the smallest
 document among them keeps them, which also reduces a group of copies to one run each before anything is sorted. Where
 an anchor occurs in different runs of different documents, windows may still be shared in part, mostly at the ends of
-a copied passage. The suffixes of these runs are sorted in the bucket of their anchor, and equal ones found:
+a copied passage. The suffixes of these runs are sorted in the bucket of their anchor, and equal ones found. An anchor
+whose runs have more than HOT windows is taken apart: each distinct window of a slice goes by itself to one of so many
+parts as the anchor's windows ask for, by a hash of its bytes, so equal windows meet and no anchor makes a bucket
+large. A bucket is sorted so:
 
 - shallow: multikey quicksort, all groups of a level at once, 8 bytes per symbol, to a depth of SHALLOW bytes;
 - deep: groups whose suffixes agree that far are ordered by a blind trie, which compares an arriving suffix with one
@@ -31,6 +34,7 @@ from matchlake.llm.shared import ship
 LENGTH = 50
 ANCHOR = 24
 SHALLOW = 16
+HOT = 20_000  # windows of an anchor that are sorted in one bucket as whole runs, at most
 SECOND_VALUES = S.mix(S.BYTE_VALUES ^ np.uint64(0x5851F42D4C957F2D))  # bytes of a second hash, not tied to the first
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
@@ -69,32 +73,107 @@ class Runs:
         self.second = S.stretch_hash(other, self.start, self.stop + length - 1) >> np.uint64(64 - S.HASH_BITS)
 
     def entries(self, ids: np.ndarray):
-        """Distinct (h, r, second) in order, the least id of each, the run that holds it, and each run's entry."""
+        """Distinct (r, second) in order of r, the least id of each, the run that holds it, and each run's entry."""
         own = ids[self.document]
-        order = np.lexsort((own, self.second, self.r, self.h))
-        h, r, second = self.h[order], self.r[order], self.second[order]
-        starts = S.group_starts(h, r, second)
+        order = np.lexsort((own, self.second, self.r))
+        r, second = self.r[order], self.second[order]
+        starts = S.group_starts(r, second)
         number = np.empty(len(order), np.int64)
         number[order] = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(order)]))
-        return (h[starts], r[starts], second[starts]), own[order][starts], order[starts], number
+        return (r[starts], second[starts]), own[order][starts], order[starts], number
 
 
-LATER, MIXED = 1, 2
+LATER = 1
 
 
-def compare_runs(h: np.ndarray, r: np.ndarray, second: np.ndarray, doc: np.ndarray, _) -> np.ndarray:
-    """LATER: a smaller document has an equal run. MIXED: the first of its kind, with other runs at its anchor."""
-    order = np.lexsort((doc, second, r, h))
-    h, d = h[order], doc[order]
-    kinds, anchors = S.group_starts(h, r[order], second[order]), S.group_starts(h)
-    first = np.repeat(d[kinds], np.diff(np.r_[kinds, len(h)]))
-    low, high = np.minimum.reduceat(first, anchors), np.maximum.reduceat(first, anchors)
-    codes = np.where(d > first, LATER, np.where(np.repeat(low < high, np.diff(np.r_[anchors, len(h)])), MIXED, 0))
-    out = np.empty(len(h), np.uint8)
-    out[order] = codes
+def compare_runs(top: np.ndarray, low: np.ndarray, second: np.ndarray, doc: np.ndarray, _) -> np.ndarray:
+    """LATER: a smaller document has an equal run."""
+    order = np.lexsort((doc, second, low, top))
+    d = doc[order]
+    kinds = S.group_starts(top[order], low[order], second[order])
+    out = np.empty(len(d), np.uint8)
+    out[order] = d > np.repeat(d[kinds], np.diff(np.r_[kinds, len(d)]))
     return out
 
 
+def at_anchors(h: np.ndarray, low: np.ndarray, high: np.ndarray, n: np.ndarray):
+    """Distinct anchors in order, their least and greatest document and sum of n, and the number of each row's anchor."""
+    order = np.argsort(h, kind="stable")
+    starts = S.group_starts(h[order])
+    number = np.empty(len(order), np.int64)
+    number[order] = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(order)]))
+    each = lambda f, c: f.reduceat(c[order], starts) if len(starts) else c
+    return h[order][starts], each(np.minimum, low), each(np.maximum, high), each(np.add, n), number
+
+
+def compare_anchors(h: np.ndarray, low: np.ndarray, high: np.ndarray, n: np.ndarray, _) -> np.ndarray:
+    """How many windows the anchor's runs have, 0 if one document has them all."""
+    _, least, most, total, number = at_anchors(h, low, high, n)
+    return np.where(least < most, total, 0)[number]
+
+
+def distinct_windows(raw: np.ndarray, at: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the windows that start at `at`: one of the least document for each distinct one, and each one's number."""
+    grid = np.lib.stride_tricks.sliding_window_view(raw, length)[at]
+    _, number = np.unique(np.ascontiguousarray(grid).view(f"V{length}").ravel(), return_inverse=True)
+    order = np.lexsort((doc, number))
+    return order[S.group_starts(number[order])], number
+
+
+class Pieces:
+    """What a slice has to sort: the first runs of their kind at anchors of several documents. They stay whole, or are
+    taken apart into distinct windows; all in order of `key`, which deals them to buckets."""
+
+    def __init__(self, s: S.Slice, own: Runs, codes: pd.DataFrame, length: int, hot: int):
+        _, self.doc, holder, self.number = own.entries(s.ids)
+        self.code = S.codes_of(codes[codes["step"] == 1])
+        entry = np.flatnonzero(self.code != LATER)
+        run, self.key, self.single = holder[entry], None, None
+        sizes, h, d = own.stop[run] - own.start[run], own.h[run], self.doc[entry]
+        self.anchors = at_anchors(h, d, d, sizes)
+        if not (codes["step"] == 2).any():
+            return
+        total = S.codes_of(codes[codes["step"] == 2], np.int64)[self.anchors[4]]
+        whole, apart = np.flatnonzero((total > 0) & (total <= hot)), np.flatnonzero(total > hot)
+        self.whole, key, start, size, least = entry[whole], h[whole], own.start[run[whole]], sizes[whole], d[whole]
+        if len(apart):
+            n = sizes[apart]
+            self.inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            self.of = np.repeat(entry[apart], n)
+            at = np.repeat(own.start[run[apart]], n) + self.inner
+            first, self.single = distinct_windows(s.bytes, at, self.doc[self.of], length)
+            at, run_of = at[first], np.repeat(apart, n)[first]
+            content = S.stretch_hash(S.prefix_hash(S.BYTE_VALUES[s.bytes]), at, at + length)
+            part = ((content >> np.uint64(32)) * (1 + total[run_of] // hot).astype(np.uint64)) >> np.uint64(32)
+            own_key = S.mix(h[run_of] ^ S.mix(part + np.uint64(1))) >> np.uint64(64 - S.HASH_BITS)
+            key, start = np.r_[key, own_key], np.r_[start, at]
+            size, least = np.r_[size, np.ones(len(at), np.int64)], np.r_[least, self.doc[self.of[first]]]
+        self.order, self.least = np.argsort(key, kind="stable"), least
+        self.key, self.start, self.size = key[self.order], start[self.order], size[self.order]
+
+    def blobs(self, s: S.Slice, number: int, buckets: int, length: int) -> list[tuple]:
+        """Rows of BLOBS: documents, sizes and bytes."""
+        rows, bucket = [], ((self.key >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(S.HASH_BITS - 16)
+        doc, starts = self.least[self.order], S.group_starts(bucket)
+        for a, z in zip(starts, [*starts[1:], len(bucket)]):
+            begin, end = self.start[a:z], self.start[a:z] + self.size[a:z] + length - 1
+            whole = b"".join([s.raw[x:y] for x, y in zip(begin.tolist(), end.tolist())])
+            rows.append((number, int(bucket[a]), int(z - a), S.joined([
+                S.compressed(doc[a:z]), S.compressed(self.size[a:z]), S.zipped(whole)])))
+        return rows
+
+    def shared(self, answers: np.ndarray) -> np.ndarray:
+        """Per distinct run of the slice a bit for each window that a smaller document has."""
+        found, bits = np.empty(len(answers), np.uint64), np.zeros(len(self.doc), np.uint64)
+        found[self.order] = answers
+        bits[self.whole] = found[:len(self.whole)]
+        if self.single is not None:
+            at = len(self.whole) + self.single
+            again = np.flatnonzero((found[at] > 0) | (self.doc[self.of] > self.least[at]))
+            np.bitwise_or.at(bits, self.of[again], np.uint64(1) << self.inner[again].astype(np.uint64))
+        return bits
+
+
 def multikey_order(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of rows of symbols by multikey quicksort, and where groups of equal rows begin.
 
@@ -193,7 +272,8 @@ def shared_windows(text: np.ndarray, sizes: np.ndarray, doc: np.ndarray, length:
     return found
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, anchor: int = ANCHOR,
+          hot: int = HOT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept."""
     ship(docs.sparkSession)
     if not max(SHALLOW, length - 63) < anchor <= length:
@@ -205,30 +285,25 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
         for b in batches:
             for _, row in b.iterrows():
                 s = S.Slice.of(row)
-                (h, r, second), doc, _, _ = Runs(s, length, anchor).entries(s.ids)
-                yield S.blob_rows(list(S.dealt(row["slice"], h, [r, second, doc], buckets)))
+                (r, second), doc, _, _ = Runs(s, length, anchor).entries(s.ids)
+                top, low = r >> np.uint64(64 - S.HASH_BITS), r.astype(np.uint16)
+                yield S.blob_rows(list(S.dealt(row["slice"], top, [low, second, doc], buckets)))
 
-    def unsettled(left: pd.DataFrame, codes: pd.DataFrame) -> pd.DataFrame:
+    def anchors(left: pd.DataFrame, codes: pd.DataFrame) -> pd.DataFrame:
         s = S.Slice.of(left.iloc[0])
-        own = Runs(s, length, anchor)
-        (h, _, _), doc, holder, _ = own.entries(s.ids)
-        pick = np.flatnonzero(S.codes_of(codes) == MIXED)
-        rows, bucket = [], ((h[pick] >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(S.HASH_BITS - 16)
-        starts = S.group_starts(bucket)
-        for a, z in zip(starts, [*starts[1:], len(pick)]):
-            part = pick[a:z]
-            run = holder[part]
-            begin, stop = own.start[run], own.stop[run]
-            whole = b"".join([s.raw[x:y] for x, y in zip(begin.tolist(), (stop + length - 1).tolist())])
-            rows.append((left["slice"].iloc[0], int(bucket[a]), len(part), S.joined([
-                S.compressed(h[part]), S.compressed(doc[part]), S.compressed(stop - begin), S.zipped(whole)])))
-        return S.blob_rows(rows)
+        h, *columns, _ = Pieces(s, Runs(s, length, anchor), codes, length, hot).anchors
+        return S.blob_rows(list(S.dealt(left["slice"].iloc[0], h, columns, buckets)))
+
+    def unsettled(left: pd.DataFrame, codes: pd.DataFrame) -> pd.DataFrame:
+        s, number = S.Slice.of(left.iloc[0]), left["slice"].iloc[0]
+        own = Pieces(s, Runs(s, length, anchor), codes, length, hot)
+        return S.blob_rows(own.blobs(s, number, buckets, length) if own.key is not None else [])
 
     def sort(part: pd.DataFrame) -> pd.DataFrame:
         blobs = [S.parted(b) for b in part["blob"]]
-        doc = np.concatenate([S.restored(b[1], np.int64) for b in blobs])
-        sizes = np.concatenate([S.restored(b[2], np.int64) for b in blobs])
-        text = np.frombuffer(b"".join(S.unzipped(b[3]) for b in blobs), np.uint8)
+        doc = np.concatenate([S.restored(b[0], np.int64) for b in blobs])
+        sizes = np.concatenate([S.restored(b[1], np.int64) for b in blobs])
+        text = np.frombuffer(b"".join(S.unzipped(b[2]) for b in blobs), np.uint8)
         found, ends = shared_windows(text, sizes, doc, length), np.cumsum(part["n"].to_numpy())
         return pd.DataFrame({"slice": part["slice"], "bucket": part["bucket"], "codes": [
             S.compressed(found[a:z]) for a, z in zip([0, *ends[:-1]], ends)]})
@@ -236,11 +311,11 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
     def kept(left: pd.DataFrame, codes: pd.DataFrame) -> pd.DataFrame:
         s = S.Slice.of(left.iloc[0])
         own = Runs(s, length, anchor)
-        _, doc, _, number = own.entries(s.ids)
-        code = S.codes_of(codes[codes["step"] == 1])
-        bits = np.zeros(len(doc), np.uint64)
-        bits[code == MIXED] = S.codes_of(codes[codes["step"] == 2], np.uint64)
-        later = (code[number] == LATER) | (s.ids[own.document] > doc[number])
+        mine = Pieces(s, own, codes, length, hot)
+        doc, number, bits = mine.doc, mine.number, np.zeros(len(mine.doc), np.uint64)
+        if mine.key is not None:
+            bits = mine.shared(S.codes_of(codes[codes["step"] == 3], np.uint64))
+        later = (mine.code[number] == LATER) | (s.ids[own.document] > doc[number])
         partly = np.flatnonzero(~later & (bits[number] > 0))
         sizes = own.stop[partly] - own.start[partly]
         inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -257,8 +332,12 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
         out.insert(0, "doc_id", s.doc_ids())
         return out
 
-    first = S.answered(cut.mapInPandas(runs, S.BLOBS), [np.uint64, np.uint64, np.int64], compare_runs)
-    open_runs = cut.groupBy("slice").cogroup(first.groupBy("slice")).applyInPandas(unsettled, S.BLOBS)
-    second = S.settle(open_runs.groupBy("bucket").applyInPandas(sort, S.CODES), "codes")
-    both = first.selectExpr("*", "1 as step").union(second.selectExpr("*", "2 as step"))
-    return cut.groupBy("slice").cogroup(both.groupBy("slice")).applyInPandas(kept, RESULT)
+    def by_slice(frame: DataFrame, codes: DataFrame, run, kind: str) -> DataFrame:
+        return frame.groupBy("slice").cogroup(codes.groupBy("slice")).applyInPandas(run, kind)
+
+    codes = S.answered(cut.mapInPandas(runs, S.BLOBS), [np.uint16, np.uint64, np.int64], compare_runs).selectExpr("*", "1 as step")
+    second = S.answered(by_slice(cut, codes, anchors, S.BLOBS), [np.int64] * 3, compare_anchors)
+    codes = codes.union(second.selectExpr("*", "2 as step"))
+    open_runs = by_slice(cut, codes, unsettled, S.BLOBS)
+    third = S.settle(open_runs.groupBy("bucket").applyInPandas(sort, S.CODES), "codes")
+    return by_slice(cut, codes.union(third.selectExpr("*", "3 as step")), kept, RESULT)

@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 
@@ -159,6 +160,29 @@ def test_runs_that_agree_in_forty_bits_are_told_apart(spark):
     assert [r["n_removed"] for r in rows(suffixes.dedup(docs))] == [0] * 4
 
 
+@pytest.mark.parametrize("hot", [1, 100])
+def test_suffixes_of_crowded_anchors_taken_apart(pair, hot):
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows(suffixes.dedup(pair, hot=hot))]
+    assert sorted(got, key=key) == sorted(brute_bytes(texts(pair)), key=key)
+
+
+def test_one_phrase_in_many_contexts_is_dealt_to_many_buckets():
+    phrase, r = b"wqlctjerxbotdtgcuqpuvzdm", np.random.default_rng(2)
+    around = r.integers(97, 123, (3000, 60)).astype(np.uint8)
+    texts_ = [a[:30].tobytes() + phrase + a[30:].tobytes() for a in around]
+    s = S.Slice(range(len(texts_)), [len(t) for t in texts_], S.zipped(b"".join(texts_)))
+    own = suffixes.Runs(s, 50, 24)
+    n = len(own.entries(s.ids)[0][0])
+    codes = pd.DataFrame({"step": [1], "bucket": [0], "codes": [S.compressed(np.zeros(n, np.uint8))]})
+    anchors = suffixes.Pieces(s, own, codes, 50, 1000).anchors
+    total = suffixes.compare_anchors(*anchors[:4], None)
+    assert total.max() > 50_000  # windows of one anchor, which went to one bucket
+    codes.loc[1] = [2, 0, S.compressed(total)]
+    pieces = suffixes.Pieces(s, own, codes, 50, 1000)
+    sizes = np.diff(np.r_[S.group_starts(pieces.key), len(pieces.key)])
+    assert pieces.size.sum() > 50_000 and sizes.max() < 2000
+
+
 def test_dedups_of_no_rows(empty):
     assert rows(suffixes.dedup(empty)) == [] and rows(substrings.dedup(empty)) == []
 
