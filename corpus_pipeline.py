@@ -52,9 +52,9 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it: whole epochs, and the one that the cut falls into if at least half
-    of it is taken."""
+    of it is taken. A document without words is taken 0 times."""
     docs = _keyed(docs)
-    taken = mixing.mix(docs, "row_key").groupBy(F.col("doc_id").alias("row_key")).agg(
+    taken = mixing.mix(docs, "row_key").filter("size > 0").groupBy(F.col("doc_id").alias("row_key")).agg(
         F.max(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("copies")).filter("copies > 0")
     found = docs.join(taken, "row_key")
     return found.select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select(*COLUMNS)

@@ -74,3 +74,12 @@ def test_run_and_no_rows(spark, empty, tmp_path):
     empty.write.parquet(str(tmp_path / "documents.parquet"))
     assert rows(P.run(spark, str(tmp_path))) == []
     assert re.fullmatch(r"[A-Za-z0-9 -]+", "".join(n for n, _ in P.STAGES))
+
+
+def test_mixing_takes_no_document_without_words(spark):
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    blank = [(1, None), (2, ""), (3, " \n\t "), (None, None), (None, "\n")]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in blank], kind)
+    assert rows(P.source_mixing(spark, docs, "")) == []
+    named = spark.createDataFrame([(4, "one two three", "en", "a", 13), (5, "four five", "en", None, 9)], kind)
+    assert {r["doc_id"] for r in rows(P.source_mixing(spark, docs.union(named), ""))} == {4, 5}
