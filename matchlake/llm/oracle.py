@@ -70,4 +70,16 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
 FROM s QUALIFY rank <= 5"""
 
-ORACLE = {"op1_quality_rules": _quality(), "op5_source_mixing": MIXING, "op10_exact_topk": TOP_K}
+HARD_NEGATIVES = """WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+ list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL
+ AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT q.vec_id AS anchor_id, c.vec_id AS vec_id, q.label = c.label AS same, list_inner_product(q.v, c.v)::BIGINT AS score
+ FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+ QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id))::INT AS rank,
+ vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
+ORACLE = {"op1_quality_rules": _quality(), "op5_source_mixing": MIXING, "op10_exact_topk": TOP_K, "op11_hard_negatives": HARD_NEGATIVES}

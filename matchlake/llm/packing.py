@@ -8,7 +8,8 @@ When no bin fits and all places are taken, the fullest open bin is closed. Memor
 Packers run side by side on hash-dealt shares of the pieces. The bins that are still open at the end of a share are
 not closed: their pieces go to a further round with fewer shares, until one share is left; its last bins are closed.
 
-Texts never leave the tasks that tokenize them: what is shuffled is a few numbers per piece.
+Texts never leave the tasks that tokenize them: what is shuffled is a few numbers per piece. A share is bounded in
+tokens and in pieces, so documents of a token or two do not gather in one.
 
 Defined cases: a null or empty text is a document of the end id alone; rows that share a doc_id are packed one by
 one; a null doc_id is kept; an empty table gives an empty result.
@@ -16,12 +17,9 @@ one; a null doc_id is kept; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import importlib.util
 import itertools
-import os
 import sys
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,82 +28,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.llm.shared import ship
+from matchlake.llm.tokens import WordIds, loaded, tokenizer_path
 from matchlake.operators.common import settle
 
-TOKENIZER_FOLDER = "/opt/tokenizers"
-TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 CAPACITY = 4096
 OPEN_BINS = 256
 SHARE_BINS = 2_000  # sequences that a share fills, about
-CACHED_WORDS = 400_000  # distinct words whose ids a Python worker remembers, at most
+SHARE_PIECES = 500_000  # pieces in a share, about; short pieces fill few sequences
 
-PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long, nth long"
 PLACED = PIECES + ", share long, bin long, offset long, closed boolean"
 
-_cache: dict = {}
-
-
-def tokenizer_path(name: str = TOKENIZER, folder: str = TOKENIZER_FOLDER) -> str:
-    """The place of a public tokenizer, which the folder's own module knows."""
-    spec = importlib.util.spec_from_file_location("public_tokenizers", os.path.join(folder, "__init__.py"))
-    module = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(module)
-    return module.path(name)
-
-
-class WordIds:
-    """Ids of whole texts. The tokenizer drops white space and joins nothing across it, so a text's ids are those
-    of its space-separated parts, and the parts that were seen before need no tokenizing."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.ids = Tokenizer.from_file(path), {"": b""}
-
-    def add(self, texts: list[list[str]]) -> None:
-        if len(self.ids) > CACHED_WORDS:  # the older half stays: frequent words come early
-            self.ids = dict(itertools.islice(self.ids.items(), CACHED_WORDS // 2))
-        new = list(set().union(*texts).difference(self.ids))
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.ids[w] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Little-endian ids of each text, the end id not included."""
-        for at in range(0, len(texts), 256):
-            parts = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-                     for t in texts[at:at + 256]]
-            self.add(parts)
-            ids = self.ids
-            for p in parts:
-                yield b"".join([ids[w] for w in p])
-
-
-def word_ids(path: str) -> WordIds:
-    if path not in _cache:
-        _cache[path] = WordIds(path)
-    return _cache[path]
-
-
 def pieces(docs: DataFrame, doc_id: str, text: str, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
-    """A row per piece. `row` tells rows with equal ids apart: it is unique per piece's document row."""
+    """A row per piece. `row` tells rows with equal ids apart: it is unique per piece's document row. `nth` numbers the
+    pieces of a task, so it is unique as well."""
 
     def cut(batches):
         from pyspark import TaskContext
 
         end, row = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId() << 36
+        nth = row
         for b in batches:
-            out = []
-            for doc, ids in zip(b.column(0).to_pylist(), word_ids(tokenizer).encode(b.column(1).to_pylist())):
-                ids += end
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at:at + 4 * capacity]
-                    out.append((row, doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
-                row += 1
-            cols = list(zip(*out)) or [()] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                             names=["row", "doc_id", "piece", "start", "length", "ids_crc32"])
+            docs = iter(b.column(0).to_pylist())
+            for ids, counts in loaded(WordIds, tokenizer).encode(b.column(1).to_pylist()):
+                out, ends = [], np.cumsum(counts).tolist()
+                for a, z in zip([0, *ends], ends):
+                    doc, whole = next(docs), ids[a:z].tobytes() + end
+                    for k, at in enumerate(range(0, len(whole), 4 * capacity)):
+                        part = whole[at:at + 4 * capacity]
+                        out.append((row, doc, k, at // 4, len(part) // 4, zlib.crc32(part), nth))
+                        nth += 1
+                    row += 1
+                kinds = (pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 4)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)],
+                                                 names=["row", "doc_id", "piece", "start", "length", "ids_crc32", "nth"])
 
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return given.mapInArrow(cut, PIECES)
@@ -161,20 +118,21 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer:
     ship(docs.sparkSession)
     items = settle(pieces(docs, doc_id, text, tokenizer or tokenizer_path(), capacity, end_id), "pack-pieces")
     whole = items.filter(F.col("length") == capacity)
-    out = [whole.select("*", F.lit(0).alias("round"), F.col("row").alias("share"), F.col("piece").cast("long").alias("bin"),
-                        F.lit(0).cast("long").alias("offset"))]
+    out = [whole.select("*", F.col("nth").alias("sequence"), F.lit(0).cast("long").alias("offset"))]
     items = items.filter(F.col("length") < capacity)
     shares = sys.maxsize
     for k in itertools.count(1):
-        tokens = items.agg(F.sum("length")).first()[0] or 0
-        shares = max(1, min(tokens // (capacity * share_bins), shares // 4))  # fewer each time, so rounds end
+        tokens, n = items.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+        wanted = max(tokens // (capacity * share_bins), n // SHARE_PIECES)
+        shares = max(1, min(wanted, shares // 4))  # fewer each time, so rounds end
         placed = settle(_round(items, shares, capacity, open_bins, shares == 1), f"pack-{k}")
-        out.append(placed.filter("closed").drop("closed").withColumn("round", F.lit(k)))
+        # A sequence's number is told by its round, share and place there: they have bits of their own.
+        number = F.shiftleft(F.lit(k).cast("long"), 60) + F.shiftleft("share", 36) + F.col("bin")
+        out.append(placed.filter("closed").withColumn("sequence", number).drop("share", "bin", "closed"))
         if shares == 1:
             break
         items = placed.filter("not closed").drop("share", "bin", "offset", "closed")
     found = out[0]
     for more in out[1:]:
         found = found.unionByName(more)
-    sequence = F.xxhash64("round", "share", "bin")
-    return found.select("doc_id", "piece", "start", "length", "ids_crc32", sequence.alias("sequence_id"), "offset")
+    return found.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("sequence").alias("sequence_id"), "offset")

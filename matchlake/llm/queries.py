@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import html, mixing, packing, quality, search, simhash, substrings, suffixes, urls, warc
+from matchlake.llm import (alignment, html, mixing, negatives, packing, planes, quality, search, simhash, substrings,
+                           suffixes, urls, warc)
 from matchlake.llm.oracle import ORACLE as ORACLE  # noqa: PLC0414
 from matchlake.operators.common import scratch_dir
 
@@ -56,6 +57,22 @@ def op10_exact_topk(spark, sf):
     return search.search(rows, rows.filter("id % 50 = 0"))
 
 
+def op11_hard_negatives(spark, sf):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), moved.alias("label"), F.col("embedding").alias("v"))
+    return negatives.mine(rows, F.col("id") % 50 == 0)
+
+
+def op12_cross_tokenizer_alignment(spark, sf):
+    return alignment.align(table(spark, sf, "documents"))
+
+
+def op13_token_planes(spark, sf):
+    index = planes.write(table(spark, sf, "documents"), scratch_dir(spark, "planes"))
+    return planes.read(index).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_best_fit_packing,
                                    op4_simhash_near_dedup, op5_source_mixing, op6_warc, op7_substring_dedup,
-                                   op8_html_extraction, op9_suffix_array_dedup, op10_exact_topk)}
+                                   op8_html_extraction, op9_suffix_array_dedup, op10_exact_topk,
+                                   op11_hard_negatives, op12_cross_tokenizer_alignment, op13_token_planes)}

@@ -19,6 +19,11 @@ def planted_rows():
     return rows
 
 
+CLASHING = ["size", "key", "fp", "row", "slice", "ids", "sizes", "data", "bucket", "blob", "n", "share", "piece", "start", "length",
+            "order", "bin", "n_words", "words", "kept", "quality", "component_id", "fingerprint", "root", "target", "part", "before",
+            "skey", "weight", "taken", "n_bytes", "n_removed", "step", "codes", "pair", "round", "v0"]
+
+
 @pytest.fixture(scope="session")
 def planted(spark):
     df = spark.createDataFrame(planted_rows(), "doc_id long, text string, lang string, source string")
@@ -38,9 +43,10 @@ def empty(spark):
 
 @pytest.fixture(scope="session")
 def pair(given, planted):
-    """The given documents and the planted ones, with ids that do not meet."""
+    """The given documents and the planted ones, with ids that do not meet, and columns named as the operators' own."""
     cols = ["doc_id", "text", "lang", "source"]
-    return given.selectExpr("doc_id + 1000 as doc_id", *cols[1:]).union(planted.select(*cols))
+    both = given.selectExpr("doc_id + 1000 as doc_id", *cols[1:]).union(planted.select(*cols))
+    return both.selectExpr("*", *[f"{i} as {c}" for i, c in enumerate(CLASHING)])
 
 
 def rows(df):

@@ -258,5 +258,13 @@ def test_word_ids_are_those_of_whole_texts():
 
     t = Tokenizer.from_file(packing.tokenizer_path())
     odd = ["It's 1,234  <|endoftext|>x y z é ́a don't''s\x1c\x1dq\x85r\n\n\tÇ ﬁ Σας", "", "   ", "a" * 5000]
-    for text, ids in zip(odd, packing.WordIds(packing.tokenizer_path()).encode(odd)):
-        assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+    for text in odd:
+        (ids, n), = packing.WordIds(packing.tokenizer_path()).encode([text])
+        assert ids.tolist() == t.encode(text, add_special_tokens=False).ids and n.tolist() == [len(ids)]
+
+
+def test_many_short_documents_fill_several_shares(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARE_PIECES", 500)
+    docs = spark.range(3000).selectExpr("id as doc_id", "if(id % 3 = 0, null, '') as text")
+    got = rows(packing.pack(docs))
+    assert check_packing(got, [(i, "") for i in range(3000)], 4096)[0] == 1
