@@ -3,8 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next
 stage's docs. All stages but the last return the columns of `documents`.
 
-Rows are told apart by a digest of doc_id and text, so null ids and repeated ids are safe. Defined cases: rows that
-are equal in both share a verdict; a null text counts as empty; extra columns are dropped; an empty table stays empty.
+Null ids and repeated ids are safe. Where a verdict is a row's own (quality, mixing), rows are told apart by a digest
+of doc_id and text, and rows that are equal in both share it. Where rows meet each other (near-duplicates, passages),
+every row gets a number of its own, in the order of doc_id, rows without one last; of equal ids the order is that of a
+hash of the text. Defined cases: a null text counts as empty; extra columns are dropped; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -30,24 +32,31 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.join(rejected, "row_key", "left_anti").select(*COLUMNS)
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Rows with `row_key`, unique and rising in the order above. Rows are dealt by ranges of that order, so no id or
+    text gathers in one task, however often it occurs."""
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.col("row")]
+    placed = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row"))
+    ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order).drop("row")
+    return settle(ordered.withColumn("row_key", F.monotonically_increasing_id()), "numbered")
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least doc_id, once. Rows without an id stay as they are."""
-    named = docs.select(*COLUMNS).filter("doc_id is not null")
-    first = simhash.near_duplicates(named).filter("doc_id = component_id").select("doc_id").distinct()
-    one = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(*COLUMNS).union(docs.select(*COLUMNS).filter("doc_id is null"))
+    """Of each group of near-duplicates the first row."""
+    docs = _numbered(docs)
+    first = simhash.near_duplicates(docs.select("row_key", "text"), "row_key").filter("doc_id = component_id")
+    return docs.join(first.select(F.col("doc_id").alias("row_key")), "row_key", "left_semi").select(*COLUMNS)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that a document with a smaller id holds. A character whose bytes are left in part
-    goes with the passage, and so does a document of which nothing is left."""
-    changed = suffixes.dedup(docs).filter("n_removed > 0").select("doc_id", F.col("kept").alias("new"))
-    named, unnamed = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
-    out = named.select(*COLUMNS).join(changed, "doc_id", "left")
-    out = out.filter("new is null or new <> ''").select(
+    """Texts without the passages that an earlier row holds. A character whose bytes are left in part goes with the
+    passage, and so does a document of which nothing is left."""
+    docs = _numbered(docs)
+    found = suffixes.dedup(docs.select("row_key", "text"), "row_key").filter("n_removed > 0")
+    out = docs.join(found.select(F.col("doc_id").alias("row_key"), F.col("kept").alias("new")), "row_key", "left")
+    return out.filter("new is null or new <> ''").select(
         "doc_id", F.coalesce("new", "text").alias("text"), "lang", "source",
         F.when(F.col("new").isNull(), F.col("n_chars")).otherwise(F.length("new")).cast("long").alias("n_chars"))
-    return out.union(unnamed.select(*COLUMNS))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
