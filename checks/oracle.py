@@ -342,7 +342,7 @@ ORACLE = {
     "index_resumes": f"with {lexical((('text', 1.0, 0.75),))}, w as (select doc_id, round(sum(impact), 6) as weight "
                      "from imp group by 1) select doc_id, category, substring(text, 1, 600) as text, weight from jobs "
                      "left join w using (doc_id)",
-    "index_incremental": IMPACTS,
+    "index_incremental": IMPACTS, "index_segments": IMPACTS,
     "index_roundtrip": IMPACTS,
     "search_lexical": f"with {LEX}, {ITEMS}, {lex_top('q', 10)} select {OUT}, title, category from lex "
                       "join jobs using (doc_id)",
@@ -377,7 +377,7 @@ ORACLE = {
                     f"{given('company')} as company_name from jobs",
     "csv_resumes": f"select doc_id as ID, {given('text')} as Resume_str, {given('lang')} as Category from documents",
     "csv_large_postings": f"""with s as (select url, max(array_to_string(string_split(url, '/')[1:3], '/')) as skills, count(*) as n
-      from pages group by url) select url as job_link, {given('substring(html, 1, 80)')} as job_title, NULL::VARCHAR as company,
+      from pages group by url) select url as job_link, {given('html')} as job_title, NULL::VARCHAR as company,
       skills, n from pages join s using (url)""",
     "category_map_roundtrip": "select distinct source as raw, upper(source) as mapped from documents",
     "first_rows": "select doc_id, text from documents order by doc_id limit 100",
@@ -385,8 +385,8 @@ ORACLE = {
                      f"regexp_matches(text, {lit(NS)})",
     "model_encoder": """with d as (select doc_id, [length(text), length(text) - length(replace(text, 'e', '')),
       length(text) - length(replace(text, 'n', ''))]::DOUBLE[] as v from documents)
-      select doc_id, i::INTEGER - 1 as i, round(v[i] / case when list_inner_product(v, v) > 0 then
-      sqrt(list_inner_product(v, v)) else 1 end, 5) as v from d, range(1, 4) r(i)""",
+      select doc_id, i::INTEGER - 1 as i, round((v[i] / case when list_inner_product(v, v) > 0 then
+      sqrt(list_inner_product(v, v)) else 1 end)::FLOAT::DOUBLE, 5) as v from d, range(1, 4) r(i)""",
     "match_streamed": f"with {LEX}, {ITEMS}, {lex_top('q', 10)} select {OUT} from lex",
     "sample_simple": f"select doc_id, lang from documents order by {H}, doc_id limit 100",
     "sample_stratified": f"with {PICKED} select query_id, category from sq",

@@ -11,7 +11,7 @@ from matchlake.functions import labels, text
 from matchlake.operators import cleaning, fusion, judging, lexical, metrics, profiling, sampling, vectors
 from matchlake.operators.common import scratch_dir
 from matchlake.plans import jobs as plans
-from matchlake.sources import index_store, readers
+from matchlake.sources import index_store, readers, segments
 from matchlake.streaming.matching import match_stream
 
 RELATED = [("en", "de"), ("fr", "es")]
@@ -258,6 +258,17 @@ def index_incremental(spark, sf):
     return lexical.impacts(built).select("term", "doc_id", r6("tf_hat"), r6("impact"))
 
 
+def index_segments(spark, sf):
+    """As `index_incremental`, in a stored index of segments: three additions that replace documents, then a merge."""
+    every = docs(spark, sf)
+    first = every.filter("category = 'en'").withColumn("description", F.concat_ws(" ", "title", "category"))
+    built = segments.create(spark, scratch_dir(spark, "segments"), lexical.fixed.JOB_FIELDS, term_parts=2)
+    for part in (first, every.filter("doc_id % 3 > 0"), every.filter("doc_id % 3 < 2")):
+        built = segments.add(built, part, fanout=None)
+    out = lexical.impacts(segments.lexical_index(segments.merge(built)))
+    return out.select("term", "doc_id", r6("tf_hat"), r6("impact"))
+
+
 def index_roundtrip(spark, sf):
     path = scratch_dir(spark, "roundtrip")
     index_store.save_lexical(index(spark, sf), path, term_parts=2)
@@ -505,8 +516,8 @@ def csv_resumes(spark, sf):
 def csv_large_postings(spark, sf):
     """Only the wanted columns of a wide table, beside its skills."""
     path = scratch_dir(spark, "large")
-    pages = table(spark, sf, "pages").select(F.col("url").alias("job_link"), F.substring("html", 1, 80).alias("job_title"),
-                                             F.lit("N/A").alias("company"), F.col("html").alias("not_wanted"), F.lit(1).alias("other"))
+    pages = table(spark, sf, "pages").select(F.col("url").alias("job_link"), F.col("html").alias("job_title"),
+                                             F.lit("N/A").alias("company"), F.col("page_id").alias("not_wanted"), F.lit(1).alias("other"))
     readers.write_table(pages, path, "csv")
     skills = table(spark, sf, "pages").select(F.col("url").alias("job_link"), F.substring_index("url", "/", 3).alias("job_skills"))
     readers.write_table(skills, path + "-skills", "csv")
@@ -567,7 +578,7 @@ QUERIES = {f.__name__: f for f in (
     strip_html_pages, strip_tags_pages, clean_pages, clean_documents, clean_funnel, dedup_documents, lenient_cast,
     level_default, fallback_text, category_normalise, classify_title, search_link, match_label, judge_parse, tokens,
     tokens_stemmed, delimited_parse, embed_text, postings, doc_lengths, term_stats, field_stats, impacts, index_summary,
-    index_jobs, index_resumes, index_incremental, index_roundtrip, search_lexical, search_lexical_fresh,
+    index_jobs, index_resumes, index_incremental, index_segments, index_roundtrip, search_lexical, search_lexical_fresh,
     search_term_cap, search_long_queries, score_pairs, search_vectors, search_vectors_grid, hashed_vectors,
     search_hybrid, compare_modes, match_jobs, match_resumes, match_streamed, sample_simple, sample_stratified,
     sample_topup, candidates_random, candidates_half, judge_prompts, judgments_graded, judgments_category,
