@@ -42,14 +42,14 @@ RESULT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
 
 def groups(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For rising ends that finish alike: after each group the number of tokens before, on either side."""
-    ends_a, ends_b = a.tolist(), b.tolist()
-    raw_a, raw_b = a.astype("<i8").tobytes(), b.astype("<i8").tobytes()
+    n = len(a)
+    ends_a, ends_b = [*a.tolist(), -1], [*b.tolist(), -2]  # what follows the last end never matches
     at, other, runs = [], [], []
-    i, shift, n = 0, 0, len(ends_a)
+    i = shift = 0
     while i < n:
-        x, y = ends_a[i], ends_b[i + shift]
+        j = i + shift
+        x, y = ends_a[i], ends_b[j]
         if x != y:  # irregular: step the side that ends first until both end together
-            j = i + shift
             while x != y:
                 if x < y:
                     i += 1
@@ -59,18 +59,20 @@ def groups(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                     y = ends_b[j]
             shift = j - i
         # Both end together here: probe along the diagonal, doubling, then halving.
-        j, run, step = i + shift, 1, 1
-        while run + step <= n - i and raw_a[8 * (i + run):8 * (i + run + step)] == raw_b[8 * (j + run):8 * (j + run + step)]:
-            run += step
-            step *= 2
+        p, q, step = i + 1, j + 1, 1
+        while ends_a[p:p + step] == ends_b[q:q + step]:
+            p += step
+            q += step
+            step += step
         while step > 1:
-            step //= 2
-            if run + step <= n - i and raw_a[8 * (i + run):8 * (i + run + step)] == raw_b[8 * (j + run):8 * (j + run + step)]:
-                run += step
+            step >>= 1
+            if ends_a[p:p + step] == ends_b[q:q + step]:
+                p += step
+                q += step
         at.append(i)
         other.append(j)
-        runs.append(run)
-        i += run
+        runs.append(p - i)
+        i = p
     runs = np.array(runs, np.int64)
     inner = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs) + 1
     return np.repeat(np.array(at, np.int64), runs) + inner, np.repeat(np.array(other, np.int64), runs) + inner
@@ -115,6 +117,9 @@ class Tokens:
         self.shown = Shown(self.n_a, self.n_b)
 
     def same_bytes(self, stretch: str, a: np.ndarray, b: np.ndarray) -> bool:
+        """Whether both sides give the stretch back. An ordinary one is given back if its words are."""
+        if self.a.exact and self.b.exact and self.a.ordinary(stretch) and self.b.ordinary(stretch):
+            return True
         raw = stretch.encode()
         return (self.size_a[a].sum() == self.size_b[b].sum() == len(raw)
                 and b"".join(map(self.a.bytes.__getitem__, a.tolist())) == raw

@@ -92,6 +92,13 @@ class Ids:
     """Ids of texts. Subclasses know the parts of an ordinary text and how to tokenize any other."""
 
     prefix = ""  # what stands in front of a text
+    bytes: list[bytes]  # of each id
+    exact = True  # whether all words so far were given back byte by byte
+
+    def checked(self, word: str, ids: list[int]) -> bytes:
+        if b"".join([self.bytes[i] for i in ids]) != word.encode():
+            self.exact = False
+        return packed(ids)
 
     def ordinary(self, stretch: str) -> bool:
         """Whether the ids are those of the space-separated parts."""
@@ -198,7 +205,7 @@ class ByteIds(Ids):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         model, byte = self.tokenizer.model, {c: b for b, c in enumerate(BYTE_CHARS)}
-        self.words = Remembered(lambda w: packed([t.id for t in model.tokenize(shown(w))]))
+        self.words = Remembered(lambda w: self.checked(w, [t.id for t in model.tokenize(shown(w))]))
         self.mixed = Remembered(lambda p: b"".join(map(self.words.__getitem__, SPACED.findall(p))))
         entries = sorted((i, t) for t, i in self.tokenizer.get_vocab().items())
         self.bytes = [b""] * (entries[-1][0] + 1)
@@ -238,7 +245,7 @@ class PieceIds(Ids):
         words = self.words.trim()
         new = [p for p in parts if p not in words]
         if new:
-            words.update(zip(new, map(packed, self.pieces.encode(new, num_threads=1))))
+            words.update({p: self.checked(" " + p, ids) for p, ids in zip(new, self.pieces.encode(new, num_threads=1)) if p})
         words[""] = self.blank
         return [words[p] for p in parts]
 
