@@ -13,7 +13,7 @@ large. A bucket is sorted so:
 
 - shallow: multikey quicksort, all groups of a level at once, 8 bytes per symbol, to a depth of SHALLOW bytes;
 - deep: groups whose suffixes agree that far are ordered by a blind trie, which compares an arriving suffix with one
-  stored suffix only and branches where they first differ.
+  stored suffix only and branches where they first differ. Each distinct suffix arrives once, with all its places.
 
 Defined cases: a null text is empty; shorter texts keep all; documents with equal ids do not precede each other; a
 null doc_id comes after all ids; an empty table gives an empty result. The digest is over all remaining bytes; `kept`
@@ -207,22 +207,21 @@ class BlindTrie:
     def __init__(self):
         self.root = None
 
-    def add(self, s: bytes, place: int) -> None:
+    def add(self, s: bytes, places: list[int]) -> None:
+        """A string that is not there yet, and the places that have it."""
+        leaf = (s, places)
         if self.root is None:
-            self.root = (s, [place])
+            self.root = leaf
             return
         node = self.root
         while isinstance(node[1], dict):
             node = node[1].get(s[node[0]]) or next(iter(node[1].values()))
-        other, places = node
-        if other == s:
-            places.append(place)
-            return
-        at = next(i for i in range(len(s)) if s[i] != other[i])
+        other, n = node[0], len(s)
+        differing = int.from_bytes(s, "big") ^ int.from_bytes(other, "big")
+        at = n - (differing.bit_length() + 7) // 8  # the first byte where they differ
         parent, node = None, self.root
         while isinstance(node[1], dict) and node[0] < at:
             parent, node = node, node[1][s[node[0]]]
-        leaf = (s, [place])
         if isinstance(node[1], dict) and node[0] == at:
             node[1][s[at]] = leaf
             return
@@ -252,10 +251,14 @@ def sorted_groups(text: np.ndarray, at: np.ndarray, length: int, shallow: int =
     sizes = np.diff(np.r_[starts, len(order)])
     raw, out = padded.tobytes(), []
     for a, size in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
-        own = order[a:a + size]
-        trie = BlindTrie()
+        own, distinct = order[a:a + size], {}
         for i, p in zip(own.tolist(), at[own].tolist()):
-            trie.add(raw[p + shallow:p + length], i)
+            distinct.setdefault(raw[p + shallow:p + length], []).append(i)
+        if len(distinct) == size:
+            continue  # no two are equal
+        trie = BlindTrie()
+        for s, places in distinct.items():
+            trie.add(s, places)
         out += [np.array(g) for g in trie.groups() if len(g) > 1]
     return out
 
