@@ -3,7 +3,8 @@
 URLs that a rule decides are the labelled ones. Trees of depth two are grown on a bounded sample of them: features are
 cut into bins, every level of a tree is one aggregate of gradients per node, feature and bin, and the trees become one
 Column expression that is evaluated inside Spark's generated code. Suffix statistics are the smoothed share of blocked
-URLs per host suffix, ending of the path and first folder, over the same sample.
+URLs per host suffix, ending of the path and first folder, over all labelled URLs: one aggregate per kind, joined to
+the rows. A value that no labelled URL has gets the overall share.
 
 Defined cases: a URL that is null or has no `://` has an empty host and path, fits no rule and is judged by the trees
 on empty features; a null page_id is kept; repeated rows are judged alike; an empty table gives an empty result; with
@@ -18,17 +19,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.llm.shared import bounded_sample, lower_ascii
-from matchlake.operators.common import settle
+from matchlake.operators.common import hint_small, is_at_most, settle
 
 # The rules as (verdict, host and path).
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
          ("block", "com/de/"))
 SAMPLE_ROWS = 10_000  # labelled URLs that the trees are fitted on, at most
-SUFFIXES = 500  # suffixes with statistics of their own, at most; others count as unknown
 ROUNDS, RATE, BINS, SMOOTH = 12, 0.4, 12, 4.0
-LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789-._/%=&?"
 FEATURES = ("url_length", "host_length", "path_length", "depth", "dots", "hyphens", "digit_ratio", "entropy",
             "n_params", "query_length", "has_fragment", "suffix_rate", "ending_rate", "folder_rate")
+BROADCAST_VALUES = 100_000  # values with a share that are broadcast, at most
 STATISTICS = ("suffix", "ending", "folder")  # columns with the share of blocked URLs per value
 
 
@@ -65,38 +65,32 @@ def parsed(pages: DataFrame, page_id: str, url: str, rules=RULES) -> DataFrame:
     size = F.greatest(n(whole), F.lit(1.0))
     only = lambda c, pattern: n(F.regexp_replace(c, pattern, ""))
     text = lower_ascii(whole)
-    bits = F.lit(0.0)
-    for x in LETTERS:
-        share = (n(text) - n(F.replace(text, F.lit(x), F.lit("")))) / size
-        bits = bits - F.when(share > 0, share * F.log2(share)).otherwise(0.0)
+    # Each distinct character's share of the URL.
+    shares = F.transform(F.array_distinct(F.split(text, "")), lambda x: (n(text) - n(F.replace(text, x, F.lit("")))) / size)
+    bits = F.aggregate(shares, F.lit(0.0), lambda sum, p: sum - F.when(p > 0, p * F.log2(p)).otherwise(0.0))
+    params = F.filter(F.split(F.regexp_extract(F.col("tail"), r"^\?([^#]*)", 1), "&"), lambda x: x != "")
     return base.select(
         "page_id", "host", "path", rule.alias("rule"), said.alias("said"), n(F.col("u")).alias("url_length"),
         n(F.col("host")).alias("host_length"), n(F.col("path")).alias("path_length"),
         only(F.col("path"), "[^/]+").alias("depth"), only(F.col("host"), "[^.]+").alias("dots"),
         only(whole, "[^-]+").alias("hyphens"), (only(whole, "[^0-9]+") / size).alias("digit_ratio"),
-        F.round(bits, 6).alias("entropy"), only(F.col("tail"), "[^=]+").alias("n_params"),
+        F.round(bits, 6).alias("entropy"), F.size(params).cast("double").alias("n_params"),
         n(F.col("tail")).alias("query_length"), F.col("tail").contains("#").cast("double").alias("has_fragment"),
         F.regexp_extract("host", r"[^.]*$", 0).alias("suffix"),
         F.regexp_extract(F.col("path"), r"(\.[A-Za-z0-9]+|/)?$", 0).alias("ending"),
         F.regexp_extract(F.col("path"), r"^/([^/]*)/", 1).alias("folder"))
 
 
-def _rates(sample: DataFrame, column: str) -> dict[str, float]:
-    """The share of blocked URLs per value, smoothed to the overall share; at most SUFFIXES values."""
-    share = sample.agg(F.avg("y")).first()[0] or 0.0
-    rows = sample.groupBy(column).agg(F.sum("y").alias("y"), F.count("*").alias("n")).orderBy(
-        F.desc("n"), column).limit(SUFFIXES).collect()
-    return {"": share} | {r[0]: (r.y + SMOOTH * share) / (r.n + SMOOTH) for r in rows if r[0]}
-
-
-def with_rates(rows: DataFrame, sample: DataFrame) -> DataFrame:
-    """Rows with the sample's statistics of their values."""
-    return rows.withColumns({f"{c}_rate": _looked_up(c, _rates(sample, c)) for c in STATISTICS})
-
-
-def _looked_up(column: str, rates: dict[str, float]) -> Column:
-    table = F.create_map(*[F.lit(x) for kv in sorted(rates.items()) for x in kv])
-    return F.coalesce(F.try_element_at(table, F.col(column)), F.lit(rates[""]))
+def with_rates(rows: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Rows with the smoothed share of blocked ones among all labelled rows that have the same value. Blocked rows of
+    a frequent value are summed up before they are joined; where values are too many to broadcast, Spark's adaptive
+    join splits a hot one."""
+    share = labelled.agg(F.coalesce(F.avg("y"), F.lit(0.0))).first()[0]
+    for c in STATISTICS:
+        sums = labelled.filter(F.col(c) != "").groupBy(c).agg(F.sum("y").alias("_y"), F.count("*").alias("_n"))
+        rates = settle(sums.select(c, ((F.col("_y") + SMOOTH * share) / (F.col("_n") + SMOOTH)).alias(f"{c}_rate")), "url-rates")
+        rows = rows.join(hint_small(rates, is_at_most(rates, BROADCAST_VALUES)), c, "left").fillna(share, subset=[f"{c}_rate"])
+    return rows
 
 
 def _tree(node: tuple) -> Column:
@@ -185,7 +179,7 @@ def judge(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules=RU
     rows = settle(parsed(pages, page_id, url, rules), "url-features")
     labelled = rows.filter(F.col("said").isNotNull()).withColumn("y", (F.col("said") == "block").cast("double"))
     sample = settle(bounded_sample(labelled, sample_rows, "page_id", "host", "path").coalesce(2), "url-labels")
-    p = F.round(1 / (1 + F.exp(-score(*fit(with_rates(sample, sample))))), 6)
-    out = with_rates(rows, sample).withColumn("block_score", p)
+    p = F.round(1 / (1 + F.exp(-score(*fit(with_rates(sample, labelled))))), 6)
+    out = with_rates(rows, labelled).withColumn("block_score", p)
     verdict = F.coalesce("said", F.when(F.col("block_score") >= 0.5, "block").otherwise("allow"))
     return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "block_score")
