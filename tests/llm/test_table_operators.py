@@ -107,6 +107,47 @@ def test_url_trees_without_labels(spark):
     assert rows(urls.judge(pages.limit(0))) == []
 
 
+def test_url_features_cover_the_whole_url(spark):
+    urls_ = ["http://a.org/x?a&b&c#k=1&l", "http://h.com/" + "".join(chr(0x4E00 + i) for i in range(80)), "http://h.com/p#q=1&r=2",
+             "http://h.com/?&&a=1&", "http://h.com/😀😀~+~!", "http://AA.com/aa", "x", None]
+    pages = spark.createDataFrame(list(enumerate(urls_)), "page_id long, url string")
+    for r in rows(urls.parsed(pages, "page_id", "url")):
+        u = urls_[r["page_id"]] or ""
+        host, path = brute_url(u)
+        tail = u.split("://", 1)[1][len(host) + len(path):] if "://" in u else ""
+        whole = "".join(c.lower() if "A" <= c <= "Z" else c for c in host + path + tail)
+        n = [whole.count(c) / len(whole) for c in set(whole)]
+        assert r["entropy"] == pytest.approx(-sum(p * math.log2(p) for p in n), abs=2e-6)
+        query = tail.split("#")[0].removeprefix("?") if tail.startswith("?") else ""
+        assert r["n_params"] == sum(1 for x in query.split("&") if x)
+
+
+def test_every_folder_has_a_statistic_and_trees_agree_with_brute_force(spark):
+    pages = spark.range(4000).selectExpr("id as page_id", "concat(if(id % 2 = 0, 'http://a.org/', 'http://b.example.org/es/'), "
+                                         "'f', id div 2, '/x', id, if(id % 3 = 0, '?q=1', '')) as url")
+    part = urls.settle(urls.parsed(pages, "page_id", "url").withColumn("y", urls.F.expr("double(said = 'block')")), "part")
+    seen = rows(urls.with_rates(part, part))
+    share = sum(r["y"] for r in seen) / len(seen)
+    for c in urls.STATISTICS:
+        sums = defaultdict(lambda: [0.0, 0])
+        for r in seen:
+            sums[r[c]][0] += r["y"]
+            sums[r[c]][1] += 1
+        assert c != "folder" or len(sums) > 1500
+        for r in seen:
+            y, n = sums[r[c]]
+            assert r[f"{c}_rate"] == pytest.approx((y + urls.SMOOTH * share) / (n + urls.SMOOTH) if r[c] else share)
+    trees, bias = urls.fit(urls.with_rates(part, part), rounds=3)
+
+    def walked(node, r):
+        while isinstance(node, tuple):
+            node = node[2] if r[node[0]] <= node[1] else node[3]
+        return node
+
+    for r in rows(urls.with_rates(part, part).withColumn("s", urls.score(trees, bias)))[::50]:
+        assert r["s"] == pytest.approx(bias + urls.RATE * sum(walked(t, r) for t in trees))
+
+
 # Mixing -----------------------------------------------------------------------------------------
 
 def brute_targets(sizes):
