@@ -32,28 +32,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.join(rejected, "row_key", "left_anti").select(*COLUMNS)
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """Rows with `row_key`, unique and rising in the order above. Rows are dealt by ranges of that order, so no id or
-    text gathers in one task, however often it occurs."""
-    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.col("row")]
-    placed = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row"))
-    ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order).drop("row")
-    return settle(ordered.withColumn("row_key", F.monotonically_increasing_id()), "numbered")
+def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows with `row`, and a narrow table of `row` and `row_key`, a number that rises in the order above.
+
+    A stage's docs are a written table, whose rows have the same `row` each time it is read. Only ids and hashes are
+    sorted, by ranges of that order, so no id or text gathers in one task, however often it occurs."""
+    rows = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row"))
+    order = [F.col("doc_id").asc_nulls_last(), "hash", "row"]
+    keys = rows.select("row", "doc_id", F.xxhash64("text").alias("hash")).repartitionByRange(*order).sortWithinPartitions(*order)
+    return rows, settle(keys.select("row", F.monotonically_increasing_id().alias("row_key")), "numbered")
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the first row."""
-    docs = _numbered(docs)
-    first = simhash.near_duplicates(docs.select("row_key", "text"), "row_key").filter("doc_id = component_id")
-    return docs.join(first.select(F.col("doc_id").alias("row_key")), "row_key", "left_semi").select(*COLUMNS)
+    rows, keys = _numbered(docs)
+    found = simhash.near_duplicates(rows.select("row", "text").join(keys, "row"), "row_key").filter("doc_id = component_id")
+    first = found.select(F.col("doc_id").alias("row_key")).join(keys, "row_key").select("row")
+    return rows.join(first, "row", "left_semi").select(*COLUMNS)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier row holds. A character whose bytes are left in part goes with the
     passage, and so does a document of which nothing is left."""
-    docs = _numbered(docs)
-    found = suffixes.dedup(docs.select("row_key", "text"), "row_key").filter("n_removed > 0")
-    out = docs.join(found.select(F.col("doc_id").alias("row_key"), F.col("kept").alias("new")), "row_key", "left")
+    rows, keys = _numbered(docs)
+    found = suffixes.dedup(rows.select("row", "text").join(keys, "row"), "row_key").filter("n_removed > 0")
+    changed = found.select(F.col("doc_id").alias("row_key"), F.col("kept").alias("new")).join(keys, "row_key").drop("row_key")
+    out = rows.join(changed, "row", "left")
     return out.filter("new is null or new <> ''").select(
         "doc_id", F.coalesce("new", "text").alias("text"), "lang", "source",
         F.when(F.col("new").isNull(), F.col("n_chars")).otherwise(F.length("new")).cast("long").alias("n_chars"))
