@@ -395,6 +395,7 @@ ORACLE = {
       r as (select *, lang is not null and row_number() over (partition by lang order by h, doc_id) <= p as ok from d, per)
       select doc_id, lang from r order by ok desc, h, doc_id limit 500""",
     "candidates_random": f"with {ITEMS}, {drawn('q', 20)} select query_id, doc_id, draw from dr",
+    "candidates_looked_up": f"with {ITEMS}, {drawn('q', 20)} select query_id, doc_id, draw from dr",
     "candidates_half": f"with {JOBS}, {PICKED}, {half('sq', 20)} select query_id, doc_id, same from hd",
     "judge_prompts": f"""with {JOBS}, {PICKED}, {half('sq', 6)} select query_id, doc_id,
       replace(replace(replace({lit(fixed.JUDGE_PROMPT)}, '{{job_title}}', j.title), '{{job_description}}',

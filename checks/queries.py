@@ -11,7 +11,7 @@ from matchlake.functions import labels, text
 from matchlake.operators import cleaning, fusion, judging, lexical, metrics, profiling, sampling, vectors
 from matchlake.operators.common import scratch_dir
 from matchlake.plans import jobs as plans
-from matchlake.sources import index_store, readers, segments
+from matchlake.sources import index_store, rank_store, readers, segments
 from matchlake.streaming.matching import match_stream
 
 RELATED = [("en", "de"), ("fr", "es")]
@@ -78,6 +78,15 @@ def _vectors(app: str, spark: SparkSession, sf: str):
     return index_store.save_vectors(built, scratch_dir(spark, "vectors"), spark.sparkContext.defaultParallelism)
 
 
+@cache
+def _ranks(app: str, spark: SparkSession, sf: str):
+    return rank_store.build(docs(spark, sf), scratch_dir(spark, "ranks"))
+
+
+def saved_ranks(spark, sf) -> rank_store.RankDirectory:
+    return _ranks(spark.sparkContext.applicationId, spark, sf)
+
+
 def saved_lexical(spark, sf) -> lexical.LexicalIndex:
     """The job index, built and written once per session, then read from storage."""
     return _lexical(spark.sparkContext.applicationId, spark, sf)
@@ -380,6 +389,13 @@ def candidates_random(spark, sf):
     return sampling.random_candidates(items(spark, sf).select("query_id"), docs(spark, sf), 20)
 
 
+def candidates_looked_up(spark, sf):
+    """As `candidates_random`, from a stored directory of places."""
+    few = lexical.few_queries(items(spark, sf), 20)
+    return sampling.random_candidates(items(spark, sf).select("query_id"), docs(spark, sf), 20, few=few,
+                                      directory=saved_ranks(spark, sf))
+
+
 def candidates_half(spark, sf):
     q = picked_queries(spark, sf).select("query_id", "category")
     return sampling.half_and_half(q, docs(spark, sf), 20)
@@ -405,7 +421,7 @@ def judgments_category(spark, sf):
 def judgments_pooled(spark, sf):
     lex, vec = saved(spark, sf)
     return judging.judge_pooled(picked_queries(spark, sf), docs(spark, sf), lex, vec,
-                                mapping=readers.category_map(spark, MAPPING))
+                                mapping=readers.category_map(spark, MAPPING), directory=saved_ranks(spark, sf))
 
 
 def grade_distribution(spark, sf):
@@ -581,7 +597,7 @@ QUERIES = {f.__name__: f for f in (
     index_jobs, index_resumes, index_incremental, index_segments, index_roundtrip, search_lexical, search_lexical_fresh,
     search_term_cap, search_long_queries, score_pairs, search_vectors, search_vectors_grid, hashed_vectors,
     search_hybrid, compare_modes, match_jobs, match_resumes, match_streamed, sample_simple, sample_stratified,
-    sample_topup, candidates_random, candidates_half, judge_prompts, judgments_graded, judgments_category,
+    sample_topup, candidates_random, candidates_looked_up, candidates_half, judge_prompts, judgments_graded, judgments_category,
     judgments_pooled, grade_distribution, judgments_roundtrip, eval_per_query, eval_aggregate, eval_report,
     eval_compare, corpus_sizes, length_histogram, length_stats, html_lengths, category_counts, top_terms,
     level_counts, distinct_categories, csv_postings, csv_resumes, csv_large_postings, category_map_roundtrip,

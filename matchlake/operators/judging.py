@@ -18,6 +18,7 @@ from matchlake.operators.common import settle
 from matchlake.operators.lexical import LexicalIndex, few_queries, with_meta
 from matchlake.operators.sampling import half_and_half, random_candidates, random_negatives
 from matchlake.operators.vectors import VectorIndex, encode_queries
+from matchlake.sources.rank_store import RankDirectory
 
 # Task functions travel by value: executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -59,8 +60,9 @@ def judge_by_category(queries: DataFrame, docs: DataFrame, k: int = 20, seed: in
 
 def judge_pooled(queries: DataFrame, docs: DataFrame, index: LexicalIndex, vectors: VectorIndex | None = None,
                  k: int = 20, n_negatives: int = 5, seed: int = fixed.SEED, mapping: DataFrame | None = None,
-                 query_vectors: DataFrame | None = None) -> DataFrame:
-    """Both rankings' top k and a few random negatives per query: 3 for the same category, else 0."""
+                 query_vectors: DataFrame | None = None, directory: RankDirectory | None = None) -> DataFrame:
+    """Both rankings' top k and a few random negatives per query: 3 for the same category, else 0. With a stored
+    `directory` of the documents the negatives are looked up, not sorted out of the whole table."""
     few = few_queries(queries, max(2 * k + n_negatives, fixed.MAX_QUERY_TERMS))
     queries = mapped_queries(queries, mapping)
     pool = lexical.search(index, queries, k, few=few).select("query_id", "doc_id")
@@ -68,7 +70,7 @@ def judge_pooled(queries: DataFrame, docs: DataFrame, index: LexicalIndex, vecto
         asked = encode_queries(queries, vectors.encoder) if query_vectors is None else query_vectors
         pool = pool.union(vector_ops.search_vectors(asked, vectors.vectors, k).select("query_id", "doc_id")).distinct()
     pool = settle(pool, "pool")
-    negatives = random_negatives(queries, docs, pool, n_negatives, seed, few)
+    negatives = random_negatives(queries, docs, pool, n_negatives, seed, few, directory)
     rows = _attach(pool.unionByName(negatives), queries, docs, few)
     grade = F.when(F.col("doc_category") == F.col("mapped"), 3).otherwise(0)
     return rows.withColumn("relevance", grade).select(*COLUMNS)

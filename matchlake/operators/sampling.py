@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from matchlake.functions import fixed
 from matchlake.functions.labels import hash_order, wide_number
 from matchlake.operators.common import BROADCAST_ROWS, hint_small
+from matchlake.sources.rank_store import RankDirectory, fetch
 
 PREFIX = 4  # hex digits: at most 65,536 prefixes
 
@@ -94,15 +95,18 @@ def chosen(seed: int, use: str, query_id: Column, k: Column, n: Column) -> Colum
 
 
 def random_candidates(queries: DataFrame, docs: DataFrame, k: int, seed: int = fixed.SEED,
-                      few: bool = False) -> DataFrame:
+                      few: bool = False, directory: RankDirectory | None = None) -> DataFrame:
     """(query_id, doc_id, draw): k random documents per query, drawn for each query on its own."""
-    return draw(queries.withColumn("_k", F.lit(k)), docs, seed, few).select("query_id", "doc_id", "draw")
+    return draw(queries.withColumn("_k", F.lit(k)), docs, seed, few, directory).select("query_id", "doc_id", "draw")
 
 
-def draw(queries: DataFrame, docs: DataFrame, seed: int, few: bool = False) -> DataFrame:
-    """As `random_candidates` with a number of draws `_k` per query; all documents when fewer."""
-    placed = places(docs.select("doc_id"), hash_order(seed, F.col("doc_id")), "doc_id")
-    total = docs.agg(F.count("*").alias("n")).scalar()
+def draw(queries: DataFrame, docs: DataFrame, seed: int, few: bool = False,
+         directory: RankDirectory | None = None) -> DataFrame:
+    """As `random_candidates` with a number of draws `_k` per query; all documents when fewer. With a stored `directory`
+    of the documents only the places drawn are read."""
+    if directory is not None and directory.seed != seed:
+        raise ValueError(f"the directory is in the order of seed {directory.seed}, not {seed}")
+    total = docs.agg(F.count("*").alias("n")).scalar() if directory is None else F.lit(directory.n).cast("long")
     wanted = queries.withColumn("_n", total).filter("_n > 0 and _k > 0")
     q = F.col("query_id")
     picked = chosen(seed, "draw", q, F.least(F.col("_k").cast("long"), F.col("_n")), F.col("_n"))
@@ -111,17 +115,20 @@ def draw(queries: DataFrame, docs: DataFrame, seed: int, few: bool = False) -> D
     wanted = wanted.withColumn("_all", ordered).select(
         *[c for c in queries.columns if c != "_k"], F.posexplode("_all").alias("draw", "_p"))
     wanted = wanted.withColumn("place", F.col("_p.place")).drop("_p")
+    if directory is not None:
+        return fetch(directory, wanted, few).drop("place")
+    placed = places(docs.select("doc_id"), hash_order(seed, F.col("doc_id")), "doc_id")
     return placed.drop("places").join(hint_small(wanted, few), "place").drop("place")
 
 
 def random_negatives(queries: DataFrame, docs: DataFrame, pool: DataFrame, n: int, seed: int = fixed.SEED,
-                     few: bool = False) -> DataFrame:
+                     few: bool = False, directory: RankDirectory | None = None) -> DataFrame:
     """(query_id, doc_id): n random documents outside each query's pool. Drawing n more than the
     pool holds always leaves n outside it, or every document there is."""
     sizes = pool.groupBy("query_id").agg(F.count("*").alias("_size"))
     asked = queries.select("query_id").join(sizes, "query_id", "left")
     asked = asked.select("query_id", (F.coalesce("_size", F.lit(0)) + n).alias("_k"))
-    outside = draw(asked, docs, seed, few).join(pool.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti")
+    outside = draw(asked, docs, seed, few, directory).join(pool.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti")
     order = W.partitionBy("query_id").orderBy("draw")
     return outside.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).select("query_id", "doc_id")
 

@@ -14,7 +14,7 @@ from matchlake.operators.judging import judge_pooled
 from matchlake.operators.lexical import build_job_index, build_resume_index
 from matchlake.operators.sampling import stratified_queries, stratified_sample
 from matchlake.operators.vectors import Encoder, HashingEncoder, build_job_vectors, build_resume_vectors
-from matchlake.sources import index_store, readers
+from matchlake.sources import index_store, rank_store, readers
 
 
 @dataclass(frozen=True)
@@ -46,6 +46,7 @@ def build_indexes(spark: SparkSession, out: Layout, encoder: Encoder | None = No
     if jobs is None or resumes is None:
         return False
     encoder = encoder or HashingEncoder()
+    rank_store.build(jobs.select("job_id"), out.jobs_ranks, "job_id")
     if n_jobs:
         jobs = stratified_sample(jobs, "job_id", "job_category", n_jobs)
     store = index_store
@@ -73,7 +74,8 @@ def judge(spark: SparkSession, out: Layout, num_queries: int = 50, k: int = 20,
     vectors = readers.read_if_exists(lambda p: index_store.open_vectors(spark, p, encoder or HashingEncoder()), out.jobs_vectors)
     rows = judge_pooled(queries, job_docs(jobs), index_store.open_lexical(spark, out.jobs_lexical),
                         vectors, k,
-                        mapping=readers.read_category_map(spark, out.category_map))
+                        mapping=readers.read_category_map(spark, out.category_map),
+                        directory=rank_store.open_directory(spark, out.jobs_ranks))
     readers.write_table(rows, out.judgments)
 
 
