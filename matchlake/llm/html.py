@@ -9,8 +9,12 @@ article or main element and outside of menus, forms, asides and the like are pos
 in disguise: its elements renamed to plain `div`s with usual class names, with further menus, notices, adverts, forms
 and reader comments around and inside the article, so that the labels do not hang on one template.
 
+A block refers to the element it is in, which holds the sums over the elements above it, so a page takes memory in proportion
+to its length however deep it nests; pages are labelled in batches of bounded characters and blocks.
+
 Defined cases: null, empty or broken html is read as far as it goes and may have no blocks, then the text is empty;
-unclosed elements end with their parents; a null page_id or url is kept; repeated rows are labelled alike; without
+very long pages are read whole; unclosed elements end with their parents or where HTML lets their end tag out; other columns
+of the table, whatever their names, play no part; a null page_id or url is kept; repeated rows are labelled alike; without
 sample pages nothing is labelled main text.
 """
 
@@ -20,10 +24,13 @@ import html as entities
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +40,8 @@ TRAIN_PAGES = 320  # pages that the labeller is fitted on, at most
 TRAIN_CHARS = 60_000  # longer pages are not fitted on; all pages are labelled whole
 HIDDEN, EPOCHS, BATCH, RATE, SEED = 12, 14, 16, 0.02, 5
 PATH_DIMS, WORD_DIMS, COUNTS = 48, 24, 6
+BATCH_CHARS = 8_000_000  # pages are read together up to this many characters of html, longer ones alone
+BATCH_BLOCKS = 65_536  # and labelled together up to this many blocks, padding included
 DIMS = PATH_DIMS + WORD_DIMS + COUNTS
 RESULT = "page_id long, url string, text string, n_chars long"
 
@@ -46,21 +55,67 @@ ASIDE = set("nav header footer aside form head button select".split())
 ASIDE_WORDS = set("nav menu footer sidebar ad ads advert advertisement banner cookie notice comment comments share social form login "
                   "newsletter breadcrumb promo related".split())
 
+# Elements that an opening tag ends where their end tag is left out, and those beyond which it ends none.
+ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"},
+        "tr": {"td", "th", "tr", "caption", "colgroup"}, "option": {"option"}, "optgroup": {"option", "optgroup"},
+        **{t: {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "colgroup"} for t in ("tbody", "thead", "tfoot")}}
+BOUNDS = set("table ul ol menu dl select".split())
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 _CLASS = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
 
 
-def blocks(source: str | None) -> list[tuple[tuple, str, int]]:
-    """Leaf blocks in order: path of (tag, class words) pairs, text, and characters of it inside links."""
-    s, out, stack, parts, linked, links = source or "", [], [], [], 0, 0
+class Path(NamedTuple):
+    """An open element with what the labeller needs of the elements above it."""
+    rejected: bool      # it or one above is a menu, form, aside or the like
+    inside: bool        # it or one above is an article or main element
+    sums: np.ndarray    # hashed tokens of it and all above
+    element: tuple      # tag, class words
+
+
+def _bucket(token: str, dims: int) -> tuple[int, float]:
+    h = zlib.crc32(token.encode())
+    return h % dims, 1.0 if h >> 31 else -1.0
+
+
+def _hashed(*said: str) -> np.ndarray:
+    v = np.zeros(PATH_DIMS, np.float32)
+    for token in said:
+        i, sign = _bucket(token, PATH_DIMS)
+        v[i] += sign
+    return v
+
+
+ROOT = Path(False, False, np.zeros(PATH_DIMS, np.float32), ("", ()))
+_elements: dict = {}
+
+
+def below(path: Path, *elements: tuple) -> Path:
+    """The path with further (tag, class words) elements below it. Classes of html and body describe the page, not a part."""
+    for tag, words in elements:
+        element = (tag, () if tag in ("html", "body") else words)
+        v = _elements.get(element)
+        if v is None:
+            v = _hashed(tag, *element[1])
+            if len(_elements) < 100_000:
+                _elements[element] = v
+        aside = tag in ASIDE or not ASIDE_WORDS.isdisjoint(element[1])
+        path = Path(path.rejected or aside, path.inside or tag in MAIN, path.sums + v, element)
+    return path
+
+
+def blocks(source: str | None) -> list[tuple[Path, str, int]]:
+    """Leaf blocks in order: path, text, and characters of it inside links."""
+    s, out, stack, parts, linked, links = source or "", [], [ROOT], [], 0, 0
+    opened: Counter = Counter()  # open elements by tag
 
     def close() -> None:
         nonlocal linked
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append((tuple(x for x in stack if x[0] not in INLINE), text, linked))
+                out.append((stack[-1], text, linked))
             parts.clear()
             linked = 0
 
@@ -70,6 +125,23 @@ def blocks(source: str | None) -> list[tuple[tuple, str, int]]:
             parts.append(text)
             linked += len(text) if links else 0
 
+    def end(tags: set, bounds: set, outermost: bool) -> None:
+        """Ends the innermost element of `tags` that is not beyond one of `bounds`, or the outermost such one."""
+        if not any(opened[t] for t in tags):
+            return
+        last = None
+        for i in range(len(stack) - 1, 0, -1):
+            tag = stack[i].element[0]
+            if tag in tags:
+                last = i
+                if not outermost:
+                    break
+            elif tag in bounds:
+                break
+        if last is not None:
+            opened.subtract(x.element[0] for x in stack[last:])
+            del stack[last:]
+
     at, n = 0, len(s)
     while at < n:
         m = _TOKEN.search(s, at)
@@ -83,8 +155,8 @@ def blocks(source: str | None) -> list[tuple[tuple, str, int]]:
         tag, closing = m[2].lower(), m[1] == "/"
         if tag in RAW and not closing:
             if not m[3].endswith("/"):
-                end = re.compile(rf"</{tag}\s*>", re.I).search(s, at)
-                at = end.end() if end else n
+                closed = re.compile(rf"</{tag}\s*>", re.I).search(s, at)
+                at = closed.end() if closed else n
             continue
         if tag in INLINE:
             if tag == "br":
@@ -95,51 +167,26 @@ def blocks(source: str | None) -> list[tuple[tuple, str, int]]:
         close()
         links = 0
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
+            end({tag}, set(), False)
         else:
-            if stack and stack[-1][0] in ("p", "li", "dt", "dd", "td", "th", "option") and (
-                    tag == stack[-1][0] or stack[-1][0] == "p"):
-                stack.pop()
+            if stack[-1].element[0] == "p":
+                end({"p"}, set(), False)
+            if tag in ENDS:
+                end(ENDS[tag], BOUNDS, True)
             if tag not in VOID and not m[3].endswith("/"):
                 words = tuple(w for x in _CLASS.findall(m[3]) for w in _WORD.findall("".join(x).lower()))
-                stack.append((tag, words))
+                stack.append(below(stack[-1], (tag, words)))
+                opened[tag] += 1
     close()
     return out
 
 
-def is_main(path: tuple) -> bool:
+def is_main(path: Path) -> bool:
     """The label of a training block."""
-    inside = False
-    for tag, words in path:
-        if tag in ASIDE or ASIDE_WORDS.intersection(words):
-            return False
-        inside = inside or tag in MAIN
-    return inside
-
-
-def _bucket(token: str, dims: int) -> tuple[int, float]:
-    h = zlib.crc32(token.encode())
-    return h % dims, 1.0 if h >> 31 else -1.0
+    return path.inside and not path.rejected
 
 
-def _path_vector(path: tuple, known: dict) -> np.ndarray:
-    v = known.get(path)
-    if v is None:
-        v = np.zeros(PATH_DIMS, np.float32)
-        for depth, (tag, words) in enumerate(path):
-            last = depth == len(path) - 1
-            for token in (tag, *words, *([f"{tag}|leaf"] if last else [])):
-                i, sign = _bucket(token, PATH_DIMS)
-                v[i] += sign
-        if len(known) < 100_000:
-            known[path] = v
-    return v
-
-
-_paths: dict = {}
+_leaves: dict = {}
 _words: dict = {}
 
 
@@ -154,11 +201,20 @@ def _word_place(word: str) -> int:
     return hit
 
 
+def _leaf(tag: str) -> np.ndarray:
+    v = _leaves.get(tag)
+    if v is None:
+        v = _hashed(f"{tag}|leaf") if tag else ROOT.sums
+        if len(_leaves) < 10_000:
+            _leaves[tag] = v
+    return v
+
+
 def vectors(page: list) -> np.ndarray:
     """A row per block."""
     x = np.zeros((len(page), DIMS), np.float32)
     for k, (path, text, linked) in enumerate(page):
-        x[k, :PATH_DIMS] = _path_vector(path, _paths)
+        x[k, :PATH_DIMS] = path.sums + _leaf(path.element[0])
         words = text.split(" ")
         own = np.bincount([_word_place(w) for w in words], minlength=2 * WORD_DIMS)
         own = own[:WORD_DIMS] - own[WORD_DIMS:]
@@ -241,7 +297,8 @@ def label(model: dict, pages: list[np.ndarray]) -> list[np.ndarray]:
     while order:
         steps = len(pages[order[0]])
         take = 1
-        while take < min(len(order), 256) and len(pages[order[take]]) <= steps * 1.3 + 4:
+        while (take < min(len(order), 256) and len(pages[order[take]]) <= steps * 1.3 + 4
+               and (take + 1) * len(pages[order[take]]) <= BATCH_BLOCKS):
             take += 1
         own, order = order[:take], order[take:]
         x, live = padded([pages[k] for k in own])
@@ -291,25 +348,26 @@ def disguised(page: list, r: random.Random) -> tuple[list, list[bool]]:
     rest = [b for b in page if not is_main(b[0])]
     words = " ".join(b[1] for b in page).split() or ["text"]
     some = lambda n: " ".join(r.choice(words) for _ in range(n))
-    root = (("html", ()), ("body", ()))
+    page_top = below(ROOT, ("html", ()))
+    root = below(page_top, ("body", ()))
     if r.random() < 0.5:
-        root += (("div", (r.choice(["page", "wrapper", "container", "site"]),)),)
+        root = below(root, ("div", (r.choice(["page", "wrapper", "container", "site"]),)))
     holder = r.choice([("article", ()), ("main", ()), ("div", ("content",)), ("div", ("post", "content")), ("section", ("entry",)),
                        ("div", ("article", "body")), ("article", ("post",))])
-    inside = root + (("main", ()), holder) if r.random() < 0.4 else root + (holder,)
+    inside = below(root, ("main", ()), holder) if r.random() < 0.4 else below(root, holder)
 
-    def extra(kind: str, path: tuple) -> list:
+    def extra(kind: str, path: Path) -> list:
         if kind == "menu":
             box = r.choice([("nav", ()), ("div", ("menu",)), ("ul", ("nav",)), ("div", ("breadcrumb",))])
-            return [(path + (box, ("ul", ()), ("li", ())), t, len(t)) for t in (some(r.randint(1, 3)) for _ in range(r.randint(2, 8)))]
+            return [(below(path, box, ("ul", ()), ("li", ())), t, len(t)) for t in (some(r.randint(1, 3)) for _ in range(r.randint(2, 8)))]
         box = {"ad": [("div", ("ad",)), ("div", ("advert",)), ("aside", ("promo",)), ("div", ("sponsored",))],
                "notice": [("div", ("cookie", "notice")), ("div", ("banner",)), ("div", ("notice",))],
                "side": [("aside", ()), ("div", ("sidebar",)), ("aside", ("related",))],
                "form": [("form", ()), ("form", ("newsletter",)), ("div", ("login",))],
                "comment": [("div", ("comments",)), ("section", ("comments",)), ("div", ("comment",)), ("ol", ("comment", "list"))],
                "header": [("header", ()), ("div", ("header",))], "footer": [("footer", ()), ("div", ("footer",))]}[kind]
-        box, leaf = r.choice(box), r.choice([(), (("p", ()),), (("div", ()),), (("li", ()),)])
-        return [(path + (box,) + leaf, t, 0) for t in (some(r.randint(2, 40)) for _ in range(r.randint(1, 4)))]
+        box, leaf = r.choice(box), r.choice([(), (("p", ()),), (("div", ()),), (("li", ()),), (("h2", ()),), (("h3", ()),)])
+        return [(below(path, box, *leaf), t, 0) for t in (some(r.randint(2, 40)) for _ in range(r.randint(1, 4)))]
 
     out, labels = [], []
 
@@ -317,16 +375,16 @@ def disguised(page: list, r: random.Random) -> tuple[list, list[bool]]:
         out.extend(rows)
         labels.extend([good] * len(rows))
 
-    put([((("html", ()), ("head", ()), ("title", ())), main[0][1] if main else some(4), 0)], False)
+    put([(below(page_top, ("head", ()), ("title", ())), main[0][1] if main else some(4), 0)], False)
     for kind in ("notice", "header", "menu", "ad"):
         if r.random() < 0.5:
             put(extra(kind, root), False)
-    put([b for b in rest if b[0][-1:] != (("title", ()),)][:r.randint(0, 8)], False)
+    put([b for b in rest if b[0].element != ("title", ())][:r.randint(0, 8)], False)
     for b in main:
-        leaf = b[0][-1] if b[0] else ("p", ())
+        leaf = b[0].element if b[0].element[0] else ("p", ())
         if r.random() < 0.1:
             leaf = r.choice([("li", ()), ("blockquote", ()), ("div", ()), ("h2", ()), ("td", ()), ("pre", ())])
-        put([(inside + (leaf,), b[1], b[2])], True)
+        put([(below(inside, leaf), b[1], b[2])], True)
         if r.random() < 0.08:
             put(extra(r.choice(["ad", "side", "form"]), inside), False)
     for kind in ("comment", "side", "form", "ad", "menu", "footer"):
@@ -364,8 +422,14 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                b = whole.slice(at, 256)
+            sizes = pc.fill_null(pc.utf8_length(whole.column(2)), 0).to_pylist()
+            at = 0
+            while at < whole.num_rows:
+                upto, chars = at + 1, sizes[at]
+                while upto < min(whole.num_rows, at + 256) and chars + sizes[upto] <= BATCH_CHARS:
+                    chars += sizes[upto]
+                    upto += 1
+                b, at = whole.slice(at, upto - at), upto
                 read = [blocks(s) for s in b.column(2).to_pylist()]
                 hits = label(model, [vectors(p) for p in read]) if model else [[]] * len(read)
                 texts = [joint.join(x[1] for x, hit in zip(p, h) if hit) for p, h in zip(read, hits)]
