@@ -139,7 +139,7 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", iteration
     counted = settle(counts(docs, doc_id, text), "quality-counts")
     votes = {f"v{i}": F.expr(vote(r)) for i, r in enumerate(RULES)}
     voted = counted.withColumns(votes)
-    patterns = settle(voted.groupBy(*votes).agg(F.count("*").alias("n")).coalesce(1), "quality-patterns")
+    patterns = settle(voted.groupBy(*votes).agg(F.count("*").alias("n")), "quality-patterns").coalesce(1)  # 3 ** 9 rows at most
     quality = F.round(_posterior(*estimate(patterns, iterations)), 6)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     return voted.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
