@@ -47,8 +47,9 @@ BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64))
 
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
-    if len(_powers.get(base, ())) < n:
-        steps = np.full(max(n, SLICE_BYTES + 1024), base, np.uint64)
+    have = len(_powers.get(base, ()))
+    if have < n:
+        steps = np.full(max(n, 2 * have, SLICE_BYTES + 1024), base, np.uint64)
         steps[0] = 1
         _powers[base] = np.multiply.accumulate(steps)
     return _powers[base][:n]
@@ -61,15 +62,26 @@ def prefix_hash(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def byte_prefix(raw: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """prefix_hash(values[raw]) without copies in between."""
+    out = np.zeros(len(raw) + 1, np.uint64)
+    np.take(values, raw, out=out[1:], mode="clip")
+    out[1:] *= powers(_BASE, len(raw))
+    np.cumsum(out[1:], out=out[1:])
+    return out
+
+
 def stretch_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of the values from start up to end, whatever their place."""
     return mix((prefix[end] - prefix[start]) * powers(_INVERSE, len(prefix))[start])
 
 
-def fixed_hash(prefix: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of all stretches of one size."""
+def fixed_hash(prefix: np.ndarray, size: int, begin: int = 0) -> np.ndarray:
+    """Hashes of all stretches of one size; `begin` is the place of the first sum where the sums before are left out."""
     n = len(prefix) - size
-    return mix((prefix[size:] - prefix[:n]) * powers(_INVERSE, len(prefix))[:n]) if n > 0 else np.zeros(0, np.uint64)
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    return mix((prefix[size:] - prefix[:n]) * powers(_INVERSE, begin + len(prefix))[begin:begin + n])
 
 
 def compressed(a: np.ndarray) -> bytes:

@@ -35,6 +35,7 @@ LENGTH = 50
 ANCHOR = 24
 SHALLOW = 16
 HOT = 20_000  # windows of an anchor that are sorted in one bucket as whole runs, at most
+STRETCH = 1 << 14  # windows whose anchors are looked for at once
 SECOND_VALUES = S.mix(S.BYTE_VALUES ^ np.uint64(0x5851F42D4C957F2D))  # bytes of a second hash, not tied to the first
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
@@ -43,46 +44,69 @@ class Runs:
     """The runs of a slice: first window, end of windows, document, anchor hash and two hashes of the bytes."""
 
     def __init__(self, s: S.Slice, length: int, anchor: int):
-        n, none = len(s.bytes), np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
         self.start = self.stop = self.document = none
         self.h = self.r = self.second = none.astype(np.uint64)
         sizes = np.diff(s.bounds)
-        if not (sizes >= length).any():
-            return
-        prefix = S.prefix_hash(S.BYTE_VALUES[s.bytes])
-        grams = S.fixed_hash(prefix, anchor)
-        # The upper half orders anchors, the lower half is the place: a minimum tells where it is, ties to the left.
-        best = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
-        width, have = length - anchor + 1, 1
-        while have < width:
-            step = min(have, width - have)
-            best = np.minimum(best[:-step], best[step:])
-            have += step
-        valid = np.zeros(len(best) + 1, np.int64)
         whole = sizes >= length
-        np.add.at(valid, s.bounds[:-1][whole], 1)
-        np.add.at(valid, s.bounds[1:][whole] - length + 1, -1)
-        windows = np.flatnonzero(np.cumsum(valid[:-1]) > 0)
-        at = (best[windows] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        first = S.group_starts(at)
-        self.start, self.stop = windows[first], windows[np.r_[first[1:], len(windows)] - 1] + 1
+        if not whole.any():
+            return
+        prefix = S.byte_prefix(s.bytes, S.BYTE_VALUES)
+        steps = np.zeros(len(s.bytes) + 1, np.int8)  # a document's windows are those that end in it
+        steps[s.bounds[:-1][whole]] += 1
+        steps[s.bounds[1:][whole] - length + 1] -= 1
+        valid = np.cumsum(steps, dtype=np.int8, out=steps)[:len(s.bytes) - length + 1].view(bool)
+        self.start, at = run_starts(prefix, valid, length, anchor)
         self.document = s.document_at(self.start)
-        self.h = S.mix(grams[at[first]] ^ np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - S.HASH_BITS)
+        last = s.bounds[1:][self.document] - length + 1
+        self.stop = np.minimum(np.r_[self.start[1:], len(s.bytes)], last)
+        anchors = S.stretch_hash(prefix, at, at + anchor)
+        self.h = S.mix(anchors ^ np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - S.HASH_BITS)
         self.r = S.stretch_hash(prefix, self.start, self.stop + length - 1)
-        other = S.prefix_hash(SECOND_VALUES[s.bytes])
+        other = S.byte_prefix(s.bytes, SECOND_VALUES)
         self.second = S.stretch_hash(other, self.start, self.stop + length - 1) >> np.uint64(64 - S.HASH_BITS)
 
     def entries(self, ids: np.ndarray):
         """Distinct (r, second) in order of r, the least id of each, the run that holds it, and each run's entry."""
-        own = ids[self.document]
-        order = np.lexsort((own, self.second, self.r))
-        r, second = self.r[order], self.second[order]
+        own, order = ids[self.document], np.argsort(self.r, kind="stable")
+        r = self.r[order]
+        same = r[1:] == r[:-1]
+        again = np.flatnonzero(np.r_[same, False] | np.r_[False, same])  # only these need the other two columns
+        at = order[again]
+        order[again] = at[np.lexsort((own[at], self.second[at], r[again]))]
+        second = self.second[order]
         starts = S.group_starts(r, second)
         number = np.empty(len(order), np.int64)
         number[order] = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(order)]))
         return (r[starts], second[starts]), own[order][starts], order[starts], number
 
 
+def run_starts(prefix: np.ndarray, valid: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of valid windows with one anchor begin, and the place of the anchor.
+
+    Goes over the text in stretches that stay in the processor's cache. Two documents' windows have no anchor in
+    common, so the first valid window of a document always begins a run."""
+    width, starts, places, before = length - anchor + 1, [], [], -1
+    for a in range(0, len(valid), STRETCH):
+        z = min(a + STRETCH, len(valid))
+        # The upper half orders anchors, the lower half is the place: a minimum tells where it is, ties to the left.
+        best = S.fixed_hash(prefix[a:z + length], anchor, a)
+        best &= np.uint64(0xFFFFFFFF00000000)
+        best |= np.arange(a, a + len(best), dtype=np.uint64)
+        have = 1
+        while have < width:
+            step = min(have, width - have)
+            best = np.minimum(best[:-step], best[step:])
+            have += step
+        at = (best & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        own = valid[a:z]
+        first = np.flatnonzero(own & np.r_[at[0] != before, (at[1:] != at[:-1]) | ~own[:-1]])
+        before = at[-1] if own[-1] else -1
+        starts.append(first + a)
+        places.append(at[first])
+    return np.concatenate(starts), np.concatenate(places)
+
+
 LATER = 1
 
 

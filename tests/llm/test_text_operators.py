@@ -210,6 +210,22 @@ def test_multikey_order_sorts():
     assert len(starts) == len({tuple(x) for x in rows_})
 
 
+def test_runs_across_stretches(monkeypatch):
+    """Windows go to the leftmost of the anchors with the least upper half of the hash, wherever a stretch ends."""
+    monkeypatch.setattr(suffixes, "STRETCH", 37)
+    rng = np.random.default_rng(4)
+    sizes = [0, 49, 50, 400, 3, 51, 120]
+    s = S.Slice(list(range(len(sizes))), sizes, S.zipped(rng.integers(97, 99, sum(sizes)).astype(np.uint8).tobytes()))
+    upper = S.fixed_hash(S.prefix_hash(S.BYTE_VALUES[s.bytes]), 24) >> np.uint64(32)
+    wanted = []
+    for d, (a, z) in enumerate(zip(s.bounds[:-1].tolist(), s.bounds[1:].tolist())):
+        at = [w + int(np.argmin(upper[w:w + 27])) for w in range(a, z - 49)]
+        cuts = [i for i in range(len(at)) if i == 0 or at[i] != at[i - 1]]
+        wanted += [(a + i, a + j, d) for i, j in zip(cuts, [*cuts[1:], len(at)])]
+    found = suffixes.Runs(s, 50, 24)
+    assert list(zip(found.start.tolist(), found.stop.tolist(), found.document.tolist())) == wanted
+
+
 # Packing ----------------------------------------------------------------------------------------
 
 def check_packing(got, docs, capacity):
