@@ -401,9 +401,10 @@ ORACLE = {
       replace(replace(replace({lit(fixed.JUDGE_PROMPT)}, '{{job_title}}', j.title), '{{job_description}}',
         substring(j.text, 1, 1000)), '{{resume_text}}', substring(sq.text, 1, 2000)) as prompt
       from hd join sq using (query_id) join jobs j using (doc_id)""",
-    "judgments_graded": f"""with {JOBS}, {PICKED}, {half('sq', 6)} select query_id, sq.category as query_category, doc_id,
+    **dict.fromkeys(("judgments_graded", "judgments_ledger"), f"""with {JOBS}, {PICKED}, {half('sq', 6)}
+      select query_id, sq.category as query_category, doc_id,
       j.category as doc_category, j.title as doc_title, case when contains(sq.text, j.title) then 3 else 0 end as relevance
-      from hd join sq using (query_id) join jobs j using (doc_id)""",
+      from hd join sq using (query_id) join jobs j using (doc_id)"""),
     "judgments_category": f"with {JUDGED} {JUDGED_OUT}",
     "judgments_pooled": f"with {POOL} {JUDGED_OUT}",
     "grade_distribution": f"with {JUDGED} select g::INTEGER as relevance, count(j.relevance) as n, "

@@ -11,7 +11,7 @@ from matchlake.functions import labels, text
 from matchlake.operators import cleaning, fusion, judging, lexical, metrics, profiling, sampling, vectors
 from matchlake.operators.common import scratch_dir
 from matchlake.plans import jobs as plans
-from matchlake.sources import index_store, rank_store, readers, segments
+from matchlake.sources import grade_ledger, index_store, rank_store, readers, segments
 from matchlake.streaming.matching import match_stream
 
 RELATED = [("en", "de"), ("fr", "es")]
@@ -413,6 +413,18 @@ def judgments_graded(spark, sf):
     return judging.judge_with(rows, same)
 
 
+def judgments_ledger(spark, sf):
+    """The same grades from a plain function, read from a ledger: the second run must ask nothing."""
+    rows, root = judging.candidate_pairs(picked_queries(spark, sf), docs(spark, sf), 6), scratch_dir(spark, "ledger")
+
+    def never(text, title, description):
+        raise RuntimeError("asked again")
+
+    same = lambda text, title, d: 3 if title in text else 0
+    grade_ledger.grade(rows, grade_ledger.asked(same), root)
+    return grade_ledger.grade(rows, grade_ledger.asked(never), root)
+
+
 def judgments_category(spark, sf):
     return judging.judge_by_category(picked_queries(spark, sf), docs(spark, sf), 20,
                                      mapping=readers.category_map(spark, MAPPING), pairs=RELATED)
@@ -597,7 +609,8 @@ QUERIES = {f.__name__: f for f in (
     index_jobs, index_resumes, index_incremental, index_segments, index_roundtrip, search_lexical, search_lexical_fresh,
     search_term_cap, search_long_queries, score_pairs, search_vectors, search_vectors_grid, hashed_vectors,
     search_hybrid, compare_modes, match_jobs, match_resumes, match_streamed, sample_simple, sample_stratified,
-    sample_topup, candidates_random, candidates_looked_up, candidates_half, judge_prompts, judgments_graded, judgments_category,
+    sample_topup, candidates_random, candidates_looked_up, candidates_half, judge_prompts, judgments_graded, judgments_ledger,
+    judgments_category,
     judgments_pooled, grade_distribution, judgments_roundtrip, eval_per_query, eval_aggregate, eval_report,
     eval_compare, corpus_sizes, length_histogram, length_stats, html_lengths, category_counts, top_terms,
     level_counts, distinct_categories, csv_postings, csv_resumes, csv_large_postings, category_map_roundtrip,
