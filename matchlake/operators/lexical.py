@@ -8,6 +8,7 @@ are kept as sums and the statistics derive from them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -23,6 +24,10 @@ from matchlake.operators.common import BROADCAST_CHARS, BROADCAST_ROWS, build_le
 from matchlake.sources.readers import pick
 
 
+# Characters of text in one partition of an index, which bound the postings that a task counts, sorts or searches.
+PARTITION_CHARS = 16_000_000
+
+
 @dataclass(frozen=True)
 class LexicalIndex:
     rows: DataFrame         # doc_id, term, tf_<field>…, dl_<field>…; term is null for an empty field
@@ -73,10 +78,18 @@ def term_counts(rows: DataFrame) -> DataFrame:
     return rows.filter("term is not null").groupBy("term").agg(F.count("*").alias("df"))
 
 
+def partitions_for(docs: DataFrame, fields) -> int:
+    """As many partitions as the texts need to hold about PARTITION_CHARS each, and one per core at least."""
+    chars = reduce(add, [F.coalesce(F.length(f), F.lit(0)).cast("long") for f in fields])
+    size = docs.agg(F.coalesce(F.sum(chars), F.lit(0)).alias("n")).first()["n"]
+    return max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(size / PARTITION_CHARS))
+
+
 def build_index(docs: DataFrame, fields: Mapping[str, tuple[float, float]], meta: DataFrame | None = None,
                 k1: float = fixed.K1, stemmed: bool = False, partitions: int | None = None) -> LexicalIndex:
-    """Index of `docs(doc_id, <field>…)` with unique ids; null text counts as empty."""
-    partitions = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Index of `docs(doc_id, <field>…)` with unique ids; null text counts as empty. Without a given number of
+    partitions it follows from the size of the texts."""
+    partitions = partitions or partitions_for(docs, list(fields))
     tokenised = _tokenised(docs, list(fields), stemmed, partitions)
     rows, lengths = _rows(tokenised, list(fields)), tokenised.drop("tokens")
     return LexicalIndex(rows, lengths, totals(lengths, fields), term_counts(rows),

@@ -163,3 +163,12 @@ def test_rebuilt_index_with_another_layout(spark, five, sample_queries, tmp_path
     again = index_store.open_lexical(spark, path)
     assert again.totals.first()["n_docs"] == 5 == again.postings.select("doc_id").distinct().count()
     assert top(lexical.search(again, sample_queries, 3), 1) == GOLDEN[1]
+
+
+def test_partitions_follow_the_size_of_the_texts(spark, five, monkeypatch):
+    monkeypatch.setattr(lexical, "PARTITION_CHARS", 20)
+    chars = sum(len(r["title"]) + len(r["description"]) for r in five.collect())
+    index = lexical.build_index(five, JOB_FIELDS)
+    assert index.partitions == math.ceil(chars / 20) > spark.sparkContext.defaultParallelism
+    blank = five.withColumn("title", F.lit(None).cast("string")).withColumn("description", F.lit(None).cast("string"))
+    assert lexical.build_index(blank, JOB_FIELDS).partitions == spark.sparkContext.defaultParallelism
