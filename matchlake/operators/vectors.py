@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -25,9 +26,14 @@ from matchlake.sources.readers import pick
 
 # Query vectors up to this many values (32 MB of doubles) are sent to every task.
 BROADCAST_VALUES = 4_000_000
-# Block sizes of the grid used beyond it: rows per query block and per document block.
+# Block sizes of the grid used beyond it: a query block and a document block have at least so many rows.
 QUERY_BLOCK = 2_048
 DOC_BLOCK = 32_768
+# A grid cell holds about this many values of either side at most, and smaller blocks are only for more cells than this.
+CELL_VALUES = 4_000_000
+CELLS_PER_CORE = 4
+# Rows of a matrix product inside a task: queries and documents.
+PRODUCT = 256, 4_096
 # Task functions travel by value: executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _FOUND = "query_id bigint, doc_id bigint, score double"
@@ -144,12 +150,17 @@ class _Best:
         self.size = 0
 
     def add(self, doc_ids: np.ndarray, docs: np.ndarray) -> None:
-        for start in range(0, len(self.query_ids), 256):
-            scores = self.queries[start:start + 256] @ docs.T
-            floor = self.floor[start:start + 256]
-            if len(doc_ids) > self.k:
-                np.maximum(floor, np.partition(scores, -self.k, axis=1)[:, -self.k], out=floor)
+        for first in range(0, len(doc_ids), PRODUCT[1]):
+            self._add(doc_ids[first:first + PRODUCT[1]], docs[first:first + PRODUCT[1]])
+
+    def _add(self, doc_ids: np.ndarray, docs: np.ndarray) -> None:
+        for start in range(0, len(self.query_ids), PRODUCT[0]):
+            scores = self.queries[start:start + PRODUCT[0]] @ docs.T
+            floor = self.floor[start:start + PRODUCT[0]]
             row, column = np.nonzero(scores >= floor[:, None] - 2e-9)
+            if len(row) > self.k * len(floor) and len(doc_ids) > self.k:  # the floor lets many through: raise it
+                np.maximum(floor, np.partition(scores, -self.k, axis=1)[:, -self.k], out=floor)
+                row, column = np.nonzero(scores >= floor[:, None] - 2e-9)
             self.kept.append((row + start, doc_ids[column], scores[row, column]))
             self.size += len(row)
         if self.size > 8 * self.k * len(self.query_ids) + 100_000:
@@ -187,11 +198,22 @@ def _scan(queries: pa.Table, vectors: DataFrame, k: int) -> DataFrame:
     return vectors.select("doc_id", "embedding").mapInArrow(run, _FOUND)
 
 
-def _grid(queries: DataFrame, vectors: DataFrame, k: int, query_block: int, doc_block: int) -> DataFrame:
+def _blocks(rows: int, least: int, width: int, cores: int) -> int:
+    """How many blocks a side of the grid has: enough to bound a cell's values and to keep all cores busy, but none for
+    fewer than `least` rows. Each block is copied once per block of the other side, so small ones are dear."""
+    for_cores = math.isqrt(CELLS_PER_CORE * cores) + 1
+    bounded = -(-rows * width // CELL_VALUES)
+    return max(1, bounded, min(-(-rows // least), for_cores))
+
+
+def _grid(queries: DataFrame, vectors: DataFrame, k: int, width: int, query_block: int, doc_block: int) -> DataFrame:
     """Query blocks meet document blocks. Both are cut by a hash into blocks of bounded size, so no
-    task depends on how large either side is, and each cell hands on k rows per query."""
-    n_q = max(1, -(-queries.count() // query_block))
-    n_d = max(1, -(-vectors.count() // doc_block))
+    task depends on how large either side is, and each cell hands on k rows per query. Rows copied between
+    tasks are the sides' product over a block's rows; cells are dealt to more partitions than there are cells."""
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    n_q = _blocks(queries.count(), query_block, width, cores)
+    n_d = _blocks(vectors.count(), doc_block, width, cores)
+    dealt = min(4 * n_q * n_d, 10_000)
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -210,7 +232,8 @@ def _grid(queries: DataFrame, vectors: DataFrame, k: int, query_block: int, doc_
                        F.col("embedding").alias("query_vector"))
     d = vectors.select(block("doc_id", n_d).alias("db"), every(n_q).alias("qb"), "doc_id",
                        F.col("embedding").alias("doc_vector"))
-    return q.groupBy("qb", "db").cogroup(d.groupBy("qb", "db")).applyInArrow(cell, _FOUND)
+    q, d = (side.repartition(dealt, "qb", "db").groupBy("qb", "db") for side in (q, d))
+    return q.cogroup(d).applyInArrow(cell, _FOUND)
 
 
 def search_vectors(queries: DataFrame, vectors: DataFrame, k: int = 10, broadcast_values: int = BROADCAST_VALUES,
@@ -227,5 +250,6 @@ def search_vectors(queries: DataFrame, vectors: DataFrame, k: int = 10, broadcas
     asked, vectors = asked.filter(same), vectors.filter(same & F.col("doc_id").isNotNull())
     most = broadcast_values // max(1, width[0]["n"])
     head = asked.limit(most + 1).toArrow()
-    found = _scan(head, vectors, k) if head.num_rows <= most else _grid(asked, vectors, k, query_block, doc_block)
+    found = _scan(head, vectors, k) if head.num_rows <= most else _grid(
+        asked, vectors, k, max(1, width[0]["n"]), query_block, doc_block)
     return top_k(found, k)

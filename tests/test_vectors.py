@@ -82,3 +82,19 @@ def test_unusable_vectors_take_no_part(spark, options):
     d = spark.createDataFrame([(5, [1.0, 0.0]), (6, None), (7, [0.5]), (None, [1.0, 1.0]), (8, [0.0, 1.0])], "doc_id bigint, embedding array<double>")
     rows = vectors.search_vectors(q.orderBy("query_id"), d, 5, **options).collect()
     assert [(r["query_id"], r["doc_id"], r["rank"]) for r in sorted(rows, key=lambda r: r["rank"])] == [(1, 5, 1), (1, 8, 2)]
+
+
+def test_grid_copies_rows_by_the_size_of_a_cell(spark, matrices, monkeypatch):
+    """Blocks of 5 rows were 140 copies of each query; now there are as many blocks as cores or a cell's bound need."""
+    assert vectors._blocks(1_000_000, 256, 64, 12) == 16
+    assert vectors._blocks(100_000, 256, 64, 12) == 7
+    assert vectors._blocks(500, 256, 64, 12) == 2 and vectors._blocks(0, 256, 64, 12) == 1
+    queries, docs = matrices
+    monkeypatch.setattr(vectors, "CELL_VALUES", 1_000)
+    monkeypatch.setattr(vectors, "PRODUCT", (3, 40))
+    found = vectors.search_vectors(frame(spark, queries, "query_id"), frame(spark, docs, "doc_id"), 10, 0, 5, 5)
+    scores = np.round(queries.astype(float) @ docs.astype(float).T, 9)
+    found = found.collect()
+    for q in range(len(queries)):
+        got = [r["doc_id"] for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q]
+        assert got == list(np.lexsort((np.arange(700), -scores[q]))[:10])
