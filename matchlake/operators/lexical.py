@@ -40,6 +40,7 @@ class LexicalIndex:
     stemmed: bool = False
     term_parts: int = 0     # > 0 when rows are stored in that many term partitions
     partitions: int = 0     # > 0 when rows are hash-partitioned by doc_id into that many partitions
+    derived: bool = False   # rows are cut out of texts whenever they are read
 
     @property
     def postings(self) -> DataFrame:
@@ -94,7 +95,7 @@ def build_index(docs: DataFrame, fields: Mapping[str, tuple[float, float]], meta
     rows, lengths = _rows(tokenised, list(fields)), tokenised.drop("tokens")
     return LexicalIndex(rows, lengths, totals(lengths, fields), term_counts(rows),
                         docs.select("doc_id") if meta is None else meta, dict(fields), k1, stemmed,
-                        partitions=partitions)
+                        partitions=partitions, derived=True)
 
 
 def build_job_index(jobs: DataFrame, fields=None, partitions: int | None = None) -> LexicalIndex:
@@ -166,10 +167,36 @@ def saturation(index: LexicalIndex) -> DataFrame:
     return tf.withColumn("saturation", F.col("tf_hat") / (index.k1 + F.col("tf_hat")))
 
 
+def _least_frequent(stats: DataFrame, most: int) -> int:
+    """The smallest power of two such that at most `most` terms are in so many documents."""
+    level = F.floor(F.log2("df")).cast("int").alias("level")
+    found = stats.groupBy(level).agg(F.count("*").alias("n")).orderBy(F.col("level").desc()).collect()  # 63 at most
+    least, n = 63, 0
+    for r in found:
+        n += r["n"]
+        if n > most:
+            break
+        least = r["level"]
+    return 2 ** least if least < 63 else 2 ** 63 - 1
+
+
 def impacts(index: LexicalIndex) -> DataFrame:
-    """What a (term, document) pair adds to the score of any query holding the term."""
-    return (saturation(index).join(term_stats(index), "term")
-            .select("term", "doc_id", "tf_hat", (F.col("idf") * F.col("saturation")).alias("impact")))
+    """What a (term, document) pair adds to the score of any query holding the term.
+
+    The statistics of the most frequent terms, as many as may be broadcast, go to the postings. Only rows of rarer
+    terms are shuffled: these are few, and a term has few of them."""
+    if index.derived:
+        rows = settle(index.rows, "rows")
+        index = replace(index, rows=rows, term_counts=term_counts(rows), derived=False)
+    stats = settle(term_stats(index), "term_stats")
+    least = _least_frequent(stats, BROADCAST_ROWS)
+    parts = saturation(index).select("doc_id", "term", "tf_hat", "saturation")
+    frequent, rare = stats.filter(F.col("df") >= least), stats.filter(F.col("df") < least)
+    found = parts.join(F.broadcast(frequent), "term")
+    if least > 1:
+        others = parts.join(F.broadcast(frequent.select("term")), "term", "left_anti")
+        found = found.unionByName(others.join(rare, "term"))
+    return found.select("term", "doc_id", "tf_hat", (F.col("idf") * F.col("saturation")).alias("impact"))
 
 
 def index_summary(index: LexicalIndex) -> DataFrame:
@@ -274,6 +301,7 @@ def add_documents(index: LexicalIndex, docs: DataFrame, meta: DataFrame | None =
     return replace(
         index,
         partitions=0,
+        derived=True,
         rows=index.rows.join(ids, "doc_id", "left_anti").unionByName(rows),
         lengths=index.lengths.join(ids, "doc_id", "left_anti").unionByName(new.lengths),
         totals=parts.agg(*[F.sum(c).alias(c) for c in sums]),

@@ -172,3 +172,15 @@ def test_partitions_follow_the_size_of_the_texts(spark, five, monkeypatch):
     assert index.partitions == math.ceil(chars / 20) > spark.sparkContext.defaultParallelism
     blank = five.withColumn("title", F.lit(None).cast("string")).withColumn("description", F.lit(None).cast("string"))
     assert lexical.build_index(blank, JOB_FIELDS).partitions == spark.sparkContext.defaultParallelism
+
+
+def test_impacts_shuffle_rows_of_rare_terms_only(spark, five_index, monkeypatch):
+    every = {(r["term"], r["doc_id"]): r["impact"] for r in lexical.impacts(five_index).collect()}
+    assert len(every) == five_index.postings.count()
+    plan = lexical.impacts(five_index)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning(term" not in plan
+    df = {r["term"]: r["df"] for r in five_index.term_counts.collect()}
+    for most, least in ((sum(n >= 2 for n in df.values()), 2), (0, 2 ** 63 - 1)):
+        assert lexical._least_frequent(five_index.term_counts, most) == least
+        monkeypatch.setattr(lexical, "BROADCAST_ROWS", most)
+        assert {(r["term"], r["doc_id"]): r["impact"] for r in lexical.impacts(five_index).collect()} == every
