@@ -20,13 +20,16 @@ from pyspark.sql import functions as F
 
 from matchlake.functions import fixed
 from matchlake.functions.text import resume_snippet, text_or_empty, tokens
-from matchlake.operators.common import BROADCAST_CHARS, BROADCAST_ROWS, build_left, hint_small, is_at_most, settle, top_k
+from matchlake.operators.common import BROADCAST_CHARS, BROADCAST_ROWS, build_left, hint_small, is_at_most, scratch_dir, settle, top_k
 from matchlake.sources.readers import pick
 
 
 # Characters of text in one partition of an index, which bound the postings that a task counts, sorts or searches.
 PARTITION_CHARS = 16_000_000
 
+# A search meets the postings with so many queries at a time, which bounds a task's sums: one per query and document.
+QUERY_ROUND = 1_024
+
 
 @dataclass(frozen=True)
 class LexicalIndex:
@@ -230,15 +233,36 @@ def search(index: LexicalIndex, queries: DataFrame, k: int = 10, max_terms: int
 
     The capped query terms travel to the postings, which stay where they are: their rows of a
     document sit in one bucket, so scores add up and are cut to k before anything is shuffled.
+    More than QUERY_ROUND queries take turns: a round's terms are within the broadcast bound whatever the number of
+    queries, no hit is shuffled, and only its k rows per query and task are kept between rounds.
     """
     few = few_queries(queries, max_terms) if few is None else few
     terms = _query_terms(index, queries, max_terms)
+    rounds = 1 if is_at_most(queries, QUERY_ROUND) else math.ceil(queries.count() / QUERY_ROUND)
+    if rounds == 1:
+        return top_k(_scores(index, terms, few), k)
+    if index.derived:
+        index = replace(index, rows=settle(index.rows, "rows").repartition(
+            index.partitions or index.rows.sparkSession.sparkContext.defaultParallelism, "doc_id"))
+    spark = queries.sparkSession
+    asked, found = scratch_dir(spark, "asked"), scratch_dir(spark, "found")
+    terms = terms.withColumn("turn", F.pmod(F.xxhash64("query_id"), F.lit(rounds)).cast("int"))
+    terms.repartition("turn").write.partitionBy("turn").parquet(asked)
+    waiting = spark.read.schema(terms.schema).parquet(asked)
+    for n in range(rounds):
+        mine = waiting.filter(F.col("turn") == n).drop("turn")
+        ranked = top_k(_scores(index, mine, is_at_most(mine, BROADCAST_ROWS)), k)
+        ranked.write.mode("append").parquet(found)
+    return spark.read.schema(ranked.schema).parquet(found)
+
+
+def _scores(index: LexicalIndex, terms: DataFrame, few: bool) -> DataFrame:
+    """(query_id, doc_id, score) of all documents sharing a term with a query."""
     on = ["term"]
     if index.term_parts:
         terms, on = terms.withColumn("term_part", term_part(F.col("term"), index.term_parts)), ["term_part", "term"]
     hits = saturation(index).join(hint_small(terms, few), on)
-    scores = hits.groupBy("query_id", "doc_id").agg(F.sum(F.col("idf") * F.col("saturation")).alias("score"))
-    return top_k(scores, k)
+    return hits.groupBy("query_id", "doc_id").agg(F.sum(F.col("idf") * F.col("saturation")).alias("score"))
 
 
 def score_pairs(index: LexicalIndex, queries: DataFrame, pairs: DataFrame, few: bool | None = None) -> DataFrame:

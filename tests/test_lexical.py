@@ -184,3 +184,16 @@ def test_impacts_shuffle_rows_of_rare_terms_only(spark, five_index, monkeypatch)
         assert lexical._least_frequent(five_index.term_counts, most) == least
         monkeypatch.setattr(lexical, "BROADCAST_ROWS", most)
         assert {(r["term"], r["doc_id"]): r["impact"] for r in lexical.impacts(five_index).collect()} == every
+
+
+@pytest.mark.parametrize("kept", [True, False])
+def test_many_queries_take_turns(spark, five_index, sample_queries, tmp_path, monkeypatch, kept):
+    """Queries beyond a round shuffle no hits: what is returned reads the rounds' results, and these are the same."""
+    monkeypatch.setattr(lexical, "QUERY_ROUND", 2)
+    index = index_store.save_lexical(five_index, str(tmp_path / "ix"), buckets=2, term_parts=2) if kept else five_index
+    asked = sample_queries.union(spark.createDataFrame([(None, "sourdough baker bread ovens")], sample_queries.schema))
+    found = lexical.search(index, asked, 3)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    for q, wanted in GOLDEN.items():
+        assert top(found, q) == wanted
+    assert [r["doc_id"] for r in found.filter("query_id is null").orderBy("rank").collect()] == [3, 0, 1]
