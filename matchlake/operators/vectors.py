@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import sys
 from collections.abc import Callable, Iterator
@@ -17,7 +18,6 @@ from pyspark.sql import types as T
 
 from matchlake.functions import fixed
 from matchlake.functions.bind import let
-from matchlake.functions.labels import hash_number
 from matchlake.functions.text import job_embed_text, resume_embed_text, tokens
 from matchlake.operators.common import top_k
 from matchlake.operators.lexical import job_meta, resume_meta
@@ -49,38 +49,34 @@ def unit(v: Column) -> Column:
     return let(as_double, scaled)
 
 
+def _hashed(found: pa.ListArray, dim: int) -> pa.ListArray:
+    """Unit vectors of signed token counts. A batch's distinct tokens are hashed once each."""
+    entries = found.flatten().dictionary_encode()
+    digests = [hashlib.md5(t.encode()).hexdigest() for t in entries.dictionary.to_pylist()]
+    bucket = np.array([int(d[:8], 16) % dim for d in digests], dtype=np.int64)
+    sign = np.array([1 - 2 * (int(d[8], 16) % 2) for d in digests], dtype=np.float64)
+    code = entries.indices.to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(found)), found.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    counts = np.bincount(row * dim + bucket[code], weights=sign[code], minlength=len(found) * dim).reshape(-1, dim)
+    norm = np.sqrt((counts * counts).sum(axis=1, keepdims=True))  # of whole numbers, so exact in any order
+    values = (counts / np.where(norm > 0, norm, 1.0)).astype(np.float32)
+    return pa.ListArray.from_arrays(np.arange(len(found) + 1, dtype=np.int32) * dim, values.ravel())
+
+
 @dataclass(frozen=True)
 class HashingEncoder:
-    """Signed feature hashing of tokens, inside one row and without Python.
-
-    Each token becomes the code 2 * bucket + sign. Every possible code is added once, so the sorted
-    codes hold a run for each of them and run lengths less one are the counts.
-    """
+    """Signed feature hashing of tokens: a token adds 1 to the bucket that its hash names, or takes 1 off."""
     dim: int = 64
     name: str = "hashing"
 
     def __call__(self, text: Column) -> Column:
-        def code(t: Column) -> Column:
-            digest = F.md5(t)
-            sign = F.conv(F.substring(digest, 9, 1), 16, 10).cast("int") % 2
-            return ((hash_number(digest) % self.dim) * 2 + sign).cast("int")
-
-        every = F.sequence(F.lit(0), F.lit(2 * self.dim - 1))
-        codes = F.sort_array(F.concat(F.transform(tokens(text), code), every))
-
-        def signed_counts(c: Column) -> Column:
-            where = F.sequence(F.lit(0), F.size(c) - 1)
-            starts = F.filter(where, lambda i: (i == 0) | (F.get(c, i) != F.get(c, i - 1)))
-
-            def values(pair: Column) -> Column:
-                s, n = pair["s"], pair["n"]
-                ends = lambda i: F.coalesce(F.get(s, i + 1), n)
-                return F.transform(F.sequence(F.lit(0), F.lit(self.dim - 1)), lambda b: (
-                    2 * F.get(s, 2 * b + 1) - F.get(s, 2 * b) - ends(2 * b + 1)).cast("double"))
+        dim = self.dim
 
-            return let(F.struct(starts.alias("s"), F.size(c).alias("n")), values)
+        @F.arrow_udf(T.ArrayType(T.FloatType()))
+        def hashed(found: pa.Array) -> pa.Array:
+            return _hashed(found, dim)
 
-        return F.transform(unit(let(codes, signed_counts)), lambda e: e.cast("float"))
+        return hashed(tokens(text))
 
 
 @dataclass(frozen=True)

@@ -57,6 +57,16 @@ def test_hashing_encoder_equals_its_definition(spark):
         assert np.allclose(row["embedding"], v / norm if norm else v, atol=1e-6)
 
 
+def test_a_batch_hashes_a_repeated_token_once(spark, monkeypatch):
+    import pyarrow as pa
+
+    hashed, md5 = [], hashlib.md5
+    monkeypatch.setattr(vectors.hashlib, "md5", lambda t: hashed.append(t) or md5(t))
+    got = vectors._hashed(pa.array([["a1", "b2", "a1"], None, [], ["a1"]], pa.list_(pa.string())), 8)
+    assert sorted(hashed) == [b"a1", b"b2"] and [len(v) for v in got.to_pylist()] == [8] * 4
+    assert got.to_pylist()[1:3] == [[0.0] * 8] * 2 and sum(abs(x) for x in got.to_pylist()[3]) == 1.0
+
+
 def test_model_encoder_loads_a_given_model(spark, tmp_path):
     def load():
         return lambda texts: np.array([[float(len(t)), 1.0] for t in texts])
