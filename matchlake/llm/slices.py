@@ -4,6 +4,9 @@ A slice is a row that holds some whole documents, about two megabytes of text. O
 share: every slice sends its distinct content hashes, packed and dealt by hash range, to buckets; a bucket sees all
 slices' entries for its range and answers with a code per entry. The number of buckets grows with the corpus, and a
 content that occurs a million times in a slice is one entry of it, so frequent contents do not make a bucket large.
+Every slice sends a blob to every bucket, and a blob has a price of its own: `slice_size` and `bucket_size` let both
+grow with the corpus, within bounds of memory, so that a blob keeps its entries. Arrays with a number per byte are made
+for a part of a slice at a time.
 """
 
 from __future__ import annotations
@@ -19,13 +22,17 @@ from pyspark.sql import functions as F
 from matchlake.operators.common import settle
 
 SLICE_BYTES = 2 << 20
+SLICE_MOST = 8 << 20
 BUCKET_ENTRIES = 100_000
+BUCKET_MOST = 1_200_000
+BLOB_ENTRIES = 500  # that a slice should have for a bucket
 HASH_BITS = 48  # of the hash that deals entries to buckets
 NO_ID = np.iinfo(np.int64).max  # stands for a null doc_id: after all ids
 
 SLICE = "slice long, ids array<long>, sizes array<long>, n_bytes long, data binary"
 BLOBS = "slice long, bucket long, n long, blob binary"
 CODES = "slice long, bucket long, codes binary"
+WEIGHED = CODES + ", weight long"
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -137,6 +144,11 @@ class Slice:
     def document_at(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.bounds, places, side="right") - 1
 
+    def parts(self) -> Iterator[tuple[int, int]]:
+        """First and last bound of stretches of whole documents, of about SLICE_BYTES each."""
+        starts = group_starts(self.bounds[:-1] // SLICE_BYTES).tolist()
+        yield from zip(starts, [*starts[1:], len(self.bounds) - 1])
+
 
 def slices(docs: DataFrame, doc_id: str, text: str, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Whole documents in slices, written to the shared folder. A null text is empty."""
@@ -168,6 +180,17 @@ def slices(docs: DataFrame, doc_id: str, text: str, slice_bytes: int = SLICE_BYT
     return settle(given.mapInArrow(run, SLICE), "slices")
 
 
+def slice_size(docs: DataFrame, text: str) -> int:
+    """Bytes of a slice: as many as leave eight slices to a core, at least SLICE_BYTES and at most SLICE_MOST."""
+    n = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    return min(SLICE_MOST, max(SLICE_BYTES, n // (8 * docs.sparkSession.sparkContext.defaultParallelism)))
+
+
+def bucket_size(slices: int) -> int:
+    """Entries of a bucket, for which each of so many slices has BLOB_ENTRIES where BUCKET_MOST allows it."""
+    return min(BUCKET_MOST, max(BUCKET_ENTRIES, BLOB_ENTRIES * slices))
+
+
 def bucket_total(cut: DataFrame, entries_per_byte: float, bucket_entries: int = BUCKET_ENTRIES) -> int:
     n = cut.agg(F.sum("n_bytes")).first()[0] or 0
     return max(1, int(n * entries_per_byte) // bucket_entries)
@@ -186,18 +209,22 @@ def blob_rows(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["slice", "bucket", "n", "blob"])
 
 
-def answered(blobs: DataFrame, kinds: list, answer: Callable) -> DataFrame:
-    """CODES for all blobs: answer(h, *columns, slice number of each entry) -> a code per entry, a numpy array."""
+def answered(blobs: DataFrame, kinds: list, answer: Callable, weigh: Callable | None = None) -> DataFrame:
+    """CODES for all blobs: answer(h, *columns, slice number of each entry) -> a code per entry, a numpy array.
+    WEIGHED, if weigh(codes, *columns) tells what entries weigh; a blob's weight is their sum."""
     def run(own: pd.DataFrame) -> pd.DataFrame:
         parts = [parted(b) for b in own["blob"]]
         h = np.concatenate([np.cumsum(restored(p[0], np.uint64)) for p in parts])
         columns = [np.concatenate([restored(p[1 + i], k) for p in parts]) for i, k in enumerate(kinds)]
         codes = answer(h, *columns, np.repeat(np.arange(len(parts)), own["n"].to_numpy()))
         ends = np.cumsum(own["n"].to_numpy())
-        return pd.DataFrame({"slice": own["slice"], "bucket": own["bucket"], "codes": [
+        out = pd.DataFrame({"slice": own["slice"], "bucket": own["bucket"], "codes": [
             compressed(codes[a:z]) for a, z in zip([0, *ends[:-1]], ends)]})
+        if weigh:
+            out["weight"] = np.diff(np.r_[0, np.cumsum(weigh(codes, *columns))[ends - 1]])
+        return out
 
-    return settle(blobs.groupBy("bucket").applyInPandas(run, CODES), "codes")
+    return settle(blobs.groupBy("bucket").applyInPandas(run, WEIGHED if weigh else CODES), "codes")
 
 
 def codes_of(rows: pd.DataFrame, kind=np.uint8) -> np.ndarray:

@@ -27,6 +27,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from matchlake.llm import slices as S
 from matchlake.llm.shared import ship
@@ -35,6 +36,8 @@ LENGTH = 50
 ANCHOR = 24
 SHALLOW = 16
 HOT = 20_000  # windows of an anchor that are sorted in one bucket as whole runs, at most
+SORTED = 400_000  # windows that are sorted in one bucket, about
+DEALT = 10_000  # tasks that sort, at most
 STRETCH = 1 << 14  # windows whose anchors are looked for at once
 SECOND_VALUES = S.mix(S.BYTE_VALUES ^ np.uint64(0x5851F42D4C957F2D))  # bytes of a second hash, not tied to the first
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
@@ -45,26 +48,29 @@ class Runs:
 
     def __init__(self, s: S.Slice, length: int, anchor: int):
         none = np.zeros(0, np.int64)
-        self.start = self.stop = self.document = none
-        self.h = self.r = self.second = none.astype(np.uint64)
-        sizes = np.diff(s.bounds)
-        whole = sizes >= length
-        if not whole.any():
-            return
-        prefix = S.byte_prefix(s.bytes, S.BYTE_VALUES)
-        steps = np.zeros(len(s.bytes) + 1, np.int8)  # a document's windows are those that end in it
-        steps[s.bounds[:-1][whole]] += 1
-        steps[s.bounds[1:][whole] - length + 1] -= 1
-        valid = np.cumsum(steps, dtype=np.int8, out=steps)[:len(s.bytes) - length + 1].view(bool)
-        self.start, at = run_starts(prefix, valid, length, anchor)
-        self.document = s.document_at(self.start)
-        last = s.bounds[1:][self.document] - length + 1
-        self.stop = np.minimum(np.r_[self.start[1:], len(s.bytes)], last)
-        anchors = S.stretch_hash(prefix, at, at + anchor)
-        self.h = S.mix(anchors ^ np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - S.HASH_BITS)
-        self.r = S.stretch_hash(prefix, self.start, self.stop + length - 1)
-        other = S.byte_prefix(s.bytes, SECOND_VALUES)
-        self.second = S.stretch_hash(other, self.start, self.stop + length - 1) >> np.uint64(64 - S.HASH_BITS)
+        found = [(none,) * 3 + (none.astype(np.uint64),) * 3]
+        for a, z in s.parts():
+            bounds, first = s.bounds[a:z + 1], s.bounds[a]
+            if (np.diff(bounds) >= length).any():
+                start, stop, document, *hashes = self._part(s.bytes[first:bounds[-1]], bounds - first, length, anchor)
+                found.append((start + first, stop + first, document + a, *hashes))
+        self.start, self.stop, self.document, self.h, self.r, self.second = (np.concatenate(c) for c in zip(*found))
+
+    @staticmethod
+    def _part(raw: np.ndarray, bounds: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, ...]:
+        whole = np.diff(bounds) >= length
+        prefix = S.byte_prefix(raw, S.BYTE_VALUES)
+        steps = np.zeros(len(raw) + 1, np.int8)  # a document's windows are those that end in it
+        steps[bounds[:-1][whole]] += 1
+        steps[bounds[1:][whole] - length + 1] -= 1
+        valid = np.cumsum(steps, dtype=np.int8, out=steps)[:len(raw) - length + 1].view(bool)
+        start, at = run_starts(prefix, valid, length, anchor)
+        document = np.searchsorted(bounds, start, side="right") - 1
+        stop = np.minimum(np.r_[start[1:], len(raw)], bounds[1:][document] - length + 1)
+        h = S.mix(S.stretch_hash(prefix, at, at + anchor) ^ np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - S.HASH_BITS)
+        r = S.stretch_hash(prefix, start, stop + length - 1)
+        other = S.byte_prefix(raw, SECOND_VALUES)
+        return start, stop, document, h, r, S.stretch_hash(other, start, stop + length - 1) >> np.uint64(64 - S.HASH_BITS)
 
     def entries(self, ids: np.ndarray):
         """Distinct (r, second) in order of r, the least id of each, the run that holds it, and each run's entry."""
@@ -144,6 +150,22 @@ def distinct_windows(raw: np.ndarray, at: np.ndarray, doc: np.ndarray, length: i
     return order[S.group_starts(number[order])], number
 
 
+def distinct_by_part(s: S.Slice, at: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """distinct_windows of each part of a slice, and a hash of the bytes of those that were taken."""
+    taken, number, hashes = [np.zeros(0, np.int64)], np.empty(len(at), np.int64), [np.zeros(0, np.uint64)]
+    part, done = np.searchsorted(s.bounds[[a for a, _ in s.parts()]], at, side="right") - 1, 0
+    for i, (a, z) in enumerate(s.parts()):
+        own = np.flatnonzero(part == i)
+        if len(own):
+            raw, places = s.bytes[s.bounds[a]:s.bounds[z]], at[own] - s.bounds[a]
+            first, inner = distinct_windows(raw, places, doc[own], length)
+            places = places[first]
+            taken.append(own[first])
+            hashes.append(S.stretch_hash(S.byte_prefix(raw, S.BYTE_VALUES), places, places + length))
+            number[own], done = inner + done, done + len(first)
+    return np.concatenate(taken), number, np.concatenate(hashes)
+
+
 class Pieces:
     """What a slice has to sort: the first runs of their kind at anchors of several documents. They stay whole, or are
     taken apart into distinct windows; all in order of `key`, which deals them to buckets."""
@@ -165,9 +187,8 @@ class Pieces:
             self.inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             self.of = np.repeat(entry[apart], n)
             at = np.repeat(own.start[run[apart]], n) + self.inner
-            first, self.single = distinct_windows(s.bytes, at, self.doc[self.of], length)
+            first, self.single, content = distinct_by_part(s, at, self.doc[self.of], length)
             at, run_of = at[first], np.repeat(apart, n)[first]
-            content = S.stretch_hash(S.prefix_hash(S.BYTE_VALUES[s.bytes]), at, at + length)
             part = ((content >> np.uint64(32)) * (1 + total[run_of] // hot).astype(np.uint64)) >> np.uint64(32)
             own_key = S.mix(h[run_of] ^ S.mix(part + np.uint64(1))) >> np.uint64(64 - S.HASH_BITS)
             key, start = np.r_[key, own_key], np.r_[start, at]
@@ -273,9 +294,17 @@ def sorted_groups(text: np.ndarray, at: np.ndarray, length: int, shallow: int =
     grid = np.lib.stride_tricks.sliding_window_view(padded, shallow)[at]
     order, starts = multikey_order(np.ascontiguousarray(grid).view(">u8").astype(np.uint64).reshape(len(at), -1))
     sizes = np.diff(np.r_[starts, len(order)])
+    starts, sizes = starts[sizes > 1], sizes[sizes > 1]
+    alike = all_equal(padded, at[order], starts, sizes, shallow, length)
     raw, out = padded.tobytes(), []
-    for a, size in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
-        own, distinct = order[a:a + size], {}
+    for a, size, same in zip(starts.tolist(), sizes.tolist(), alike.tolist()):
+        own = order[a:a + size]
+        if same:  # one string: nothing to put in order
+            out.append(own)
+            continue
+        if size == 2:
+            continue
+        distinct = {}
         for i, p in zip(own.tolist(), at[own].tolist()):
             distinct.setdefault(raw[p + shallow:p + length], []).append(i)
         if len(distinct) == size:
@@ -287,15 +316,34 @@ def sorted_groups(text: np.ndarray, at: np.ndarray, length: int, shallow: int =
     return out
 
 
+def all_equal(text: np.ndarray, at: np.ndarray, starts: np.ndarray, sizes: np.ndarray, begin: int, end: int) -> np.ndarray:
+    """Which groups of places have equal bytes everywhere from begin up to end."""
+    if not len(starts):
+        return np.zeros(0, bool)
+    row = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+    place, first, alike = at[row], np.repeat(at[starts], sizes), np.ones(len(row), bool)
+    width = min(8, end - begin) or 1
+    symbol = np.lib.stride_tricks.sliding_window_view(text, width)
+    for step in range(begin, end, width):
+        step = min(step, end - width)
+        alike &= (symbol[place + step] == symbol[first + step]).all(axis=1)
+    return np.logical_and.reduceat(alike, np.cumsum(sizes) - sizes)
+
+
 def shared_windows(text: np.ndarray, sizes: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
     """For runs of `sizes` windows one after the other in text: a bit per window that a smaller document shares."""
     begins = np.r_[0, np.cumsum(sizes + length - 1)[:-1]].astype(np.int64)
     run = np.repeat(np.arange(len(sizes)), sizes)
     inner = np.arange(len(run)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     found = np.zeros(len(sizes), np.uint64)
-    for g in sorted_groups(text, begins[run] + inner, length):
-        later = g[doc[run[g]] > doc[run[g]].min()]
-        np.bitwise_or.at(found, run[later], np.uint64(1) << inner[later].astype(np.uint64))
+    groups = sorted_groups(text, begins[run] + inner, length)
+    if not groups:
+        return found
+    order, sizes = np.concatenate(groups), np.array([len(g) for g in groups])
+    own = doc[run[order]]
+    least = np.minimum.reduceat(own, np.cumsum(sizes) - sizes)
+    later = order[own > np.repeat(least, sizes)]
+    np.bitwise_or.at(found, run[later], np.uint64(1) << inner[later].astype(np.uint64))
     return found
 
 
@@ -305,8 +353,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
     ship(docs.sparkSession)
     if not max(SHALLOW, length - 63) < anchor <= length:
         raise ValueError("an anchor is longer than the shallow depth and leaves at most 64 windows to a run")
-    cut = S.slices(docs, doc_id, text)
-    buckets = S.bucket_total(cut, 2 / (length - anchor + 2))
+    cut = S.slices(docs, doc_id, text, S.slice_size(docs, text))
+    buckets = S.bucket_total(cut, 2 / (length - anchor + 2), S.bucket_size(cut.count()))
 
     def runs(batches):
         for b in batches:
@@ -324,7 +372,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
     def unsettled(left: pd.DataFrame, codes: pd.DataFrame) -> pd.DataFrame:
         s, number = S.Slice.of(left.iloc[0]), left["slice"].iloc[0]
         own = Pieces(s, Runs(s, length, anchor), codes, length, hot)
-        return S.blob_rows(own.blobs(s, number, buckets, length) if own.key is not None else [])
+        return S.blob_rows(own.blobs(s, number, parts, length) if own.key is not None else [])
 
     def sort(part: pd.DataFrame) -> pd.DataFrame:
         blobs = [S.parted(b) for b in part["blob"]]
@@ -348,13 +396,19 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
         inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         hit = (np.repeat(bits[number[partly]], sizes) >> inner.astype(np.uint64)) & np.uint64(1) > 0
         single = (np.repeat(own.start[partly], sizes) + inner)[hit]
-        gone = S.covered(len(s.bytes), np.r_[own.start[later], single], np.r_[own.stop[later] + length - 1, single + length])
-        rows = []
-        for a, z in zip(s.bounds[:-1].tolist(), s.bounds[1:].tolist()):
-            g = gone[a:z]
-            rest = s.bytes[a:z][~g].tobytes()
-            spans = int(g[:1].sum() + (g[1:] & ~g[:-1]).sum())
-            rows.append((z - a, z - a - len(rest), spans, hashlib.sha256(rest).hexdigest(), rest.decode(errors="ignore")))
+        whole, rows = np.flatnonzero(later), []
+        for first, last in s.parts():
+            begin, end = s.bounds[first], s.bounds[last]
+            some = whole[slice(*np.searchsorted(own.start[whole], [begin, end]))]
+            one = single[slice(*np.searchsorted(single, [begin, end]))]
+            gone = S.covered(end - begin, np.r_[own.start[some], one] - begin,
+                             np.r_[own.stop[some] + length - 1, one + length] - begin)
+            bounds = (s.bounds[first:last + 1] - begin).tolist()
+            for a, z in zip(bounds[:-1], bounds[1:]):
+                g = gone[a:z]
+                rest = s.bytes[begin + a:begin + z][~g].tobytes()
+                spans = int(g[:1].sum() + (g[1:] & ~g[:-1]).sum())
+                rows.append((z - a, z - a - len(rest), spans, hashlib.sha256(rest).hexdigest(), rest.decode(errors="ignore")))
         out = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
         out.insert(0, "doc_id", s.doc_ids())
         return out
@@ -362,9 +416,14 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
     def by_slice(frame: DataFrame, codes: DataFrame, run, kind: str) -> DataFrame:
         return frame.groupBy("slice").cogroup(codes.groupBy("slice")).applyInPandas(run, kind)
 
+    def open_windows(codes: np.ndarray, low: np.ndarray, high: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return np.where(codes > 0, n, 0)
+
     codes = S.answered(cut.mapInPandas(runs, S.BLOBS), [np.uint16, np.uint64, np.int64], compare_runs).selectExpr("*", "1 as step")
-    second = S.answered(by_slice(cut, codes, anchors, S.BLOBS), [np.int64] * 3, compare_anchors)
-    codes = codes.union(second.selectExpr("*", "2 as step"))
+    second = S.answered(by_slice(cut, codes, anchors, S.BLOBS), [np.int64] * 3, compare_anchors, open_windows)
+    parts = 1 + (second.agg(F.sum("weight")).first()[0] or 0) // SORTED
+    codes = codes.union(second.drop("weight").selectExpr("*", "2 as step"))
     open_runs = by_slice(cut, codes, unsettled, S.BLOBS)
+    open_runs = open_runs.repartition(min(parts, DEALT), "bucket")  # few bytes, but much to do: Spark would make few tasks
     third = S.settle(open_runs.groupBy("bucket").applyInPandas(sort, S.CODES), "codes")
     return by_slice(cut, codes.union(third.selectExpr("*", "3 as step")), kept, RESULT)

@@ -284,3 +284,44 @@ def test_many_short_documents_fill_several_shares(spark, monkeypatch):
     docs = spark.range(3000).selectExpr("id as doc_id", "if(id % 3 = 0, null, '') as text")
     got = rows(packing.pack(docs))
     assert check_packing(got, [(i, "") for i in range(3000)], 4096)[0] == 1
+
+
+@pytest.mark.parametrize("gb", [1, 6, 16])
+def test_blobs_keep_their_entries_in_a_large_corpus(monkeypatch, spark, gb):
+    """Of 6 GB a slice of 2 MB had 33 entries for a bucket of 100,000; there were 14 million such blobs."""
+    monkeypatch.setattr(S, "SLICE_BYTES", 2 << 10)  # a thousandth of all sizes
+    monkeypatch.setattr(S, "SLICE_MOST", 8 << 10)
+    docs = spark.createDataFrame([("x" * 1024,)], "text string").selectExpr(f"explode(array_repeat(text, {gb << 10})) as text")
+    slices = (gb << 20) // S.slice_size(docs, "text")
+    assert S.bucket_size(slices) / slices >= S.BLOB_ENTRIES
+    assert S.slice_size(docs.limit(0), "text") == S.SLICE_BYTES
+
+
+def test_runs_of_a_slice_do_not_depend_on_its_parts(monkeypatch):
+    r = np.random.default_rng(4)
+    texts = [bytes(r.choice(list(b"ab c"), n)) for n in (0, 10, 49, 50, 300, 0, 700, 51, 2000, 64)]
+    texts += [texts[6] + b"x" + texts[4], texts[8][100:900]]
+    s = S.Slice(range(len(texts)), [len(x) for x in texts], S.zipped(b"".join(texts)))
+    whole = suffixes.Runs(s, 50, 24)
+    at = np.flatnonzero(np.concatenate([np.arange(len(x)) + 50 <= len(x) for x in texts]))
+    doc = s.document_at(at)
+    first, number, _ = suffixes.distinct_by_part(s, at, doc, 50)
+    assert len(first) == len({s.raw[p:p + 50] for p in at.tolist()})
+    monkeypatch.setattr(S, "SLICE_BYTES", 400)
+    assert len(list(s.parts())) > 3
+    parts = suffixes.Runs(s, 50, 24)
+    for c in ("start", "stop", "document", "h", "r", "second"):
+        assert getattr(whole, c).tolist() == getattr(parts, c).tolist(), c
+    first, number, content = suffixes.distinct_by_part(s, at, doc, 50)
+    assert [s.raw[p:p + 50] for p in at[first][number].tolist()] == [s.raw[p:p + 50] for p in at.tolist()]
+    assert len(content) == len(first) and len(set(content.tolist())) == len({s.raw[p:p + 50] for p in at[first].tolist()})
+
+
+def test_dedup_in_slices_of_several_parts(spark, pair, monkeypatch):
+    want = rows(suffixes.dedup(pair))
+    monkeypatch.setattr(S, "SLICE_BYTES", 700)
+    monkeypatch.setattr(S, "slice_size", lambda docs, text: 5000)
+    monkeypatch.setattr(S, "bucket_size", lambda slices: 300)
+    monkeypatch.setattr(suffixes, "SORTED", 500)
+    key = lambda x: repr(sorted(x.items()))
+    assert sorted(rows(suffixes.dedup(pair, hot=50)), key=key) == sorted(want, key=key)
