@@ -4,7 +4,8 @@ Candidates are cut into blocks of rows. A block keeps, for every component ("ter
 which vectors have a non-zero value there, and the values. Queries come in blocks as well. A query block meets every
 candidate block; each term scatters its weighted postings into the dense score array of the queries that have it. A
 partition selection on scores takes the k best of every query in the block, and these are merged over all blocks.
-Nothing is approximate, and neither side is broadcast: blocks of both sides meet by an equi-join on block numbers.
+Nothing is approximate, and neither side is broadcast, not by Spark's own choice either: a task holds a candidate block
+and all query blocks stream past it, so there is no join whose size Spark could take for a small one.
 
 Scores are integers. Ties go to the smaller id. Defined cases: vectors that are null, or hold a null, NaN or infinite
 component, take no part; missing components of shorter vectors are zero; an empty vector scores zero; a query's own id
@@ -16,18 +17,20 @@ Components whose integer does not fit 31 bits are computed with exact integers a
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from matchlake.llm.shared import ship
-from matchlake.operators.common import settle
+from matchlake.operators.common import meet, settle
 
 QUERY_BLOCK = 512
 DOC_BLOCK = 4096
 SCALE = 256
-HITS = "query_row long, query_id long, vec_id long, score long"
+QUERY_ROWS = 32  # of a block that are scored at once, so that scores stay in cache
+NAMES = ["query_row", "query_id", "vec_id", "score"]
+HITS = ", ".join(f"{c} long" for c in NAMES)
 
 
 def usable(vector: Column) -> Column:
@@ -59,7 +62,7 @@ def _accumulate(queries: np.ndarray, docs: np.ndarray) -> np.ndarray:
         posting = np.flatnonzero(column)
         if not len(rows) or not len(posting):
             continue
-        if len(posting) == len(column) and len(rows) == len(queries):
+        if 4 * len(posting) * len(rows) > scores.size:  # picking the few zeros out would cost more than adding them
             scores += queries[:, t, None] * column
         else:
             scores[np.ix_(rows, posting)] += queries[rows, t, None] * column[posting]
@@ -80,7 +83,7 @@ def _best(scores: np.ndarray, k: int) -> np.ndarray:
 def _blocks(rows: DataFrame, block: int, number: str) -> tuple[DataFrame, int]:
     """One row per block, holding the about `block` rows that a hash deals to it, and the number of blocks."""
     n = max(1, -(-rows.count() // block))
-    dealt = rows.withColumn(number, F.pmod(F.xxhash64("row"), F.lit(n)))
+    dealt = rows.withColumn(number, F.pmod(F.xxhash64("row"), F.lit(n)).cast("int"))
     return dealt.groupBy(number).agg(F.sort_array(F.collect_list(F.struct("id", "row", "v"))).alias("rows")), n
 
 
@@ -92,25 +95,36 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = SCAL
         "id is not null and v is not null").withColumn("row", F.monotonically_increasing_id())
     docs, asked = settle(numbered(vectors), "search-vectors"), settle(numbered(queries), "search-queries")
     (left, _), (right, n) = _blocks(asked, query_block, "qb"), _blocks(docs, doc_block, "db")
-    grid = settle(left, "search-blocks").withColumn("db", F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>")))
-    met = grid.withColumnRenamed("rows", "asked").join(right, "db")
-
-    def score(met: pd.DataFrame) -> pd.DataFrame:
-        asked_rows, rows = met["asked"].iloc[0], met["rows"].iloc[0]
-        q, big = _ints([r["v"] for r in asked_rows], scale)
-        d, huge = _ints([r["v"] for r in rows], scale)
-        ids = np.array([r["id"] for r in rows], np.int64)
+
+    def rows_of(block: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+        v = block.field("v")
+        ends = np.cumsum(v.value_lengths().to_numpy())
+        m, big = _ints(np.split(v.flatten().to_numpy(), ends[:-1]), scale)
+        return block.field("id").to_numpy(), block.field("row").to_numpy(), np.asfortranarray(m), big  # terms side by side
+
+    def score(held: tuple, asked: tuple) -> pa.RecordBatch:
+        (ids, _, d, huge), (own, numbers, q, big) = held, asked
         if big or huge:
             q, d = q.astype(object), d.astype(object)
         out = []
-        for r, s in zip(asked_rows, _accumulate(q, d)):
-            keep = np.flatnonzero(ids != r["id"])
-            best = keep[_best(s[keep], k)]
-            out += [(r["row"], r["id"], int(ids[i]), max(min(int(s[i]), 2 ** 63 - 1), -2 ** 63)) for i in best]
-        return pd.DataFrame(out, columns=["query_row", "query_id", "vec_id", "score"])
-
-    # A pair of blocks is a group of its own, so a task holds one pair at a time; the join's partitions serve.
-    hits = met.select("qb", "db", "asked", "rows").groupBy("db", "qb").applyInPandas(score, HITS)
+        for a in range(0, len(q), QUERY_ROWS):
+            for i, s in enumerate(_accumulate(q[a:a + QUERY_ROWS], d), a):
+                keep = np.flatnonzero(ids != own[i])
+                best = keep[_best(s[keep], k)]
+                out += [(numbers[i], own[i], ids[j], max(min(int(s[j]), 2 ** 63 - 1), -2 ** 63)) for j in best]
+        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int64()) for c in range(len(NAMES))], names=NAMES)
+
+    def run(batches):
+        held = None
+        for b in batches:
+            for i in range(b.num_rows):
+                if b["held"][i].as_py():
+                    held = rows_of(b["rows"][i].values)
+                elif held is not None:
+                    yield score(held, rows_of(b["asked"][i].values))
+
+    asked = settle(left.select(F.col("rows").alias("asked")), "search-asked")
+    hits = meet(right.withColumnRenamed("db", "block"), asked, n, run, HITS)
     order = W.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     best = hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")

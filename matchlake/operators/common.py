@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,16 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def meet(held: DataFrame, asked: DataFrame, blocks: int, run: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
+    """Every row of `held`, numbered by its int column `block` below `blocks`, meets every row of `asked`.
+
+    run gets a block's Arrow batches in one task: the row of `held`, where the column `held` is true, before those of
+    `asked`. A row of `held` moves once and one of `asked` once per block; nothing is broadcast or joined."""
+    every = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("held", F.lit(False))
+    both = held.withColumn("held", F.lit(True)).unionByName(every, allowMissingColumns=True)
+    return both.repartitionById(blocks, "block").sortWithinPartitions("block", F.desc("held")).mapInArrow(run, schema)
+
+
 def top_k(scores: DataFrame, k: int, score: str = "score", keys: tuple[str, ...] = ("query_id",),
           tie: str = "doc_id") -> DataFrame:
     """Ranks 1..k per key, best score first. Scores are compared at nine decimals, so the order

@@ -292,3 +292,13 @@ def test_search_of_no_rows(spark):
     assert rows(search.search(none, none)) == []
     one = spark.createDataFrame([(0, [1.0])], "id long, v array<float>")
     assert rows(search.search(one, one)) == []
+
+
+def test_search_broadcasts_no_side(spark):
+    """Blocks of both sides look small to Spark, whose estimate does not know how often they are copied."""
+    r = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, r.integers(-3, 3, 4).astype(float).tolist()) for i in range(300)], "id long, v array<double>")
+    found = search.search(df, df.filter("id % 3 = 0"), 5, query_block=20, doc_block=30)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Join" not in plan and "Cartesian" not in plan
+    assert found.count() == 500
