@@ -20,14 +20,16 @@ from pyspark.sql import functions as F
 
 from matchlake.functions import fixed
 from matchlake.functions.text import resume_snippet, text_or_empty, tokens
-from matchlake.operators.common import BROADCAST_CHARS, BROADCAST_ROWS, build_left, hint_small, is_at_most, scratch_dir, settle, top_k
+from matchlake.operators.block_search import best_of_blocks
+from matchlake.operators.common import BROADCAST_CHARS, BROADCAST_ROWS, build_left, hint_small, is_at_most, settle, top_k
 from matchlake.sources.readers import pick
 
 
 # Characters of text in one partition of an index, which bound the postings that a task counts, sorts or searches.
 PARTITION_CHARS = 16_000_000
 
-# A search meets the postings with so many queries at a time, which bounds a task's sums: one per query and document.
+# So many queries are joined with the postings, which bounds a task's sums: one per query and document. More of them meet
+# blocks of documents.
 QUERY_ROUND = 1_024
 
 
@@ -233,27 +235,24 @@ def search(index: LexicalIndex, queries: DataFrame, k: int = 10, max_terms: int
 
     The capped query terms travel to the postings, which stay where they are: their rows of a
     document sit in one bucket, so scores add up and are cut to k before anything is shuffled.
-    More than QUERY_ROUND queries take turns: a round's terms are within the broadcast bound whatever the number of
-    queries, no hit is shuffled, and only its k rows per query and task are kept between rounds.
+    More than QUERY_ROUND queries stream in blocks past blocks of documents (`block_search`): nothing is broadcast, no
+    hit is a row, and a block hands on k rows per query. A term's hash stands for it, where no two terms share one.
     """
     few = few_queries(queries, max_terms) if few is None else few
-    terms = _query_terms(index, queries, max_terms)
-    rounds = 1 if is_at_most(queries, QUERY_ROUND) else math.ceil(queries.count() / QUERY_ROUND)
-    if rounds == 1:
-        return top_k(_scores(index, terms, few), k)
+    if is_at_most(queries, QUERY_ROUND):
+        return top_k(_scores(index, _query_terms(index, queries, max_terms), few), k)
     if index.derived:
-        index = replace(index, rows=settle(index.rows, "rows").repartition(
-            index.partitions or index.rows.sparkSession.sparkContext.defaultParallelism, "doc_id"))
-    spark = queries.sparkSession
-    asked, found = scratch_dir(spark, "asked"), scratch_dir(spark, "found")
-    terms = terms.withColumn("turn", F.pmod(F.xxhash64("query_id"), F.lit(rounds)).cast("int"))
-    terms.repartition("turn").write.partitionBy("turn").parquet(asked)
-    waiting = spark.read.schema(terms.schema).parquet(asked)
-    for n in range(rounds):
-        mine = waiting.filter(F.col("turn") == n).drop("turn")
-        ranked = top_k(_scores(index, mine, is_at_most(mine, BROADCAST_ROWS)), k)
-        ranked.write.mode("append").parquet(found)
-    return spark.read.schema(ranked.schema).parquet(found)
+        rows = settle(index.rows, "rows")
+        index = replace(index, rows=rows, term_counts=term_counts(rows), derived=False)
+    known = index.term_counts.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("postings"), F.count("*").alias("terms"),
+                                  F.countDistinct(F.xxhash64("term")).alias("keys")).first()
+    if known["keys"] < known["terms"]:  # two terms have one hash, which can stand for neither
+        return settle(top_k(_scores(index, settle(_query_terms(index, queries, max_terms), "asked"), False), k), "found")
+    key = F.xxhash64("term").alias("key")
+    postings = saturation(index).select("doc_id", key, F.col("saturation").alias("part"))
+    terms = _query_terms(index, queries, max_terms).select("query_id", key, F.col("idf").alias("weight"))
+    found = best_of_blocks(postings, terms, k, known["postings"], queries.count())
+    return settle(top_k(found, k), "found")
 
 
 def _scores(index: LexicalIndex, terms: DataFrame, few: bool) -> DataFrame:

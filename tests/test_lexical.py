@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchlake.functions.fixed import JOB_FIELDS
-from matchlake.operators import lexical
+from matchlake.operators import block_search, lexical
 from matchlake.sources import index_store
 
 
@@ -197,3 +197,26 @@ def test_many_queries_take_turns(spark, five_index, sample_queries, tmp_path, mo
     for q, wanted in GOLDEN.items():
         assert top(found, q) == wanted
     assert [r["doc_id"] for r in found.filter("query_id is null").orderBy("rank").collect()] == [3, 0, 1]
+
+
+def test_many_queries_over_blocks_equal_the_join(spark, monkeypatch):
+    """Far more queries than a round, null ids, repeated ids, a term that most documents have, ties and few hits."""
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(80)]
+    rows = [(d, " ".join(rng.choices(vocabulary, k=rng.randint(0, 3))),
+             " ".join(rng.choices(vocabulary, k=rng.randint(0, 25)) + (["hot"] * 2 if d % 3 else []))) for d in range(700)]
+    rows += [(None, "w1 w2", "hot lone"), (900, "w5", "w6 w7"), (901, "w5", "w6 w7")]
+    index = lexical.build_index(spark.createDataFrame(rows, "doc_id bigint, title string, description string"), JOB_FIELDS)
+    asked = [(q, " ".join(rng.choices(vocabulary, k=rng.randint(1, 12)) + ["hot"] * (q % 2))) for q in range(60)]
+    asked += [(None, "w1 hot"), (3, "w9 lone"), (70, "lone"), (71, "unknown"), (72, ""), (73, "w5 w6 w7")]
+    queries = spark.createDataFrame(asked, "query_id bigint, text string")
+    found = lambda: {(r["query_id"], r["rank"]): (r["doc_id"], round(r["score"], 8)) for r in lexical.search(index, queries, 4, max_terms=6).collect()}  # noqa: E731, E501
+    joined = found()
+    monkeypatch.setattr(lexical, "QUERY_ROUND", 2)
+    monkeypatch.setattr(block_search, "POSTINGS", 900)
+    monkeypatch.setattr(block_search, "QUERIES", 7)
+    monkeypatch.setattr(block_search, "STRETCH", 8)
+    joins = []
+    monkeypatch.setattr(lexical, "_scores", lambda *a: joins.append(a))
+    assert found() == joined and (None, 1) in joined and len(joined) > 200
+    assert joins == []  # no hit is a row of a join any more
